@@ -1 +1,2 @@
 
+"""Views and queries of the warehouse."""

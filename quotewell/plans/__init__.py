@@ -1 +1,2 @@
 
+"""The warehouse object and the registered queries."""
