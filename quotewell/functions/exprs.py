@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
 #: Market codes whose securities are listed; the others trade over the counter without limits.
 LISTED = ("TSE", "OTC", "TIB")
 KNOWN_MARKETS = (*LISTED, "REG", "PSB")
 
-by_security = Window.partitionBy("stock_id").orderBy("date")
+
+def by_security() -> WindowSpec:
+    return Window.partitionBy("stock_id").orderBy("date")
 
 
 def c(name: str) -> Column:
@@ -25,9 +27,9 @@ def share(part: Column, whole: Column, digits: int) -> Column:
     return F.round(F.lit(100.0) * part / whole, digits)
 
 
-def gap_days(window=by_security) -> Column:
+def gap_days() -> Column:
     """Days since the security's row before."""
-    return F.datediff("date", F.lag("date").over(window))
+    return F.datediff("date", F.lag("date").over(by_security()))
 
 
 def last_by(value: str, order: str) -> Column:

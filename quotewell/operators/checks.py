@@ -118,7 +118,7 @@ def feed_checks(x: Expected) -> list[Check]:
 def vendor_checks(x: Expected) -> list[Check]:
     bars, index = (lambda w: w.vendor_v_adj_daily_prices), (lambda w: w.vendor_v_index_constituents)
     none = lambda rows, name: value(rows.where(c(name).isNull()))
-    wrong_partition = (F.year("date") != c("year")) | (F.month("date") != c("month"))
+    wrong_partition = lambda: (F.year("date") != c("year")) | (F.month("date") != c("month"))
     i, d, ref, traded = x.golden_vendor
     golden = lambda w: bars(w).where((c("stock_id") == i) & (c("date") == on(d)))
     idx, idx_day, member, weight = x.golden_weight
@@ -136,7 +136,7 @@ def vendor_checks(x: Expected) -> list[Check]:
         Check("golden reference price", lambda w: value(golden(w), F.round(F.max("next_ref_price"), 6)), ref, ref),
         Check("golden transactions", lambda w: value(golden(w), F.max("transactions")), traded, traded),
         Check("adjusted close below the reference price", lambda w: value(golden(w).where("close < next_ref_price")), least=1),
-        Check("vendor partitions agree with dates", lambda w: value(bars(w).where(wrong_partition)), **ZERO),
+        Check("vendor partitions agree with dates", lambda w: value(bars(w).where(wrong_partition())), **ZERO),
         Check("vendor view has its columns", lambda w: value(w.spark.range(len(bars(w).columns))), len(VENDOR_BAR), len(VENDOR_BAR)),
         Check("index rows", lambda w: value(index(w)), least=x.index_rows),
         Check("indices", lambda w: value(index(w), F.countDistinct("index_id")), 2, 2),
@@ -151,7 +151,7 @@ def vendor_checks(x: Expected) -> list[Check]:
         Check("member counts are in their band", lambda w: value(w.vendor_v_index_daily_coverage.where(reduce(lambda a, b: a | b, ((c("index_id") == k) & ~c("constituents").between(lo, hi) for k, lo, hi in x.index_bands)))), **ZERO),
         Check("weights sum to a hundred", lambda w: value(w.vendor_v_index_daily_coverage.where((c("date") >= on(x.weights_from)) & ~c("total_weight_pct").between(*x.weight_band))), **ZERO),
         Check("golden weight", lambda w: value(index(w).where((c("index_id") == idx) & (c("date") == on(idx_day)) & (c("stock_id") == member)), F.round(F.max("prev_weight_pct"), 4)), weight, weight),
-        Check("index partitions agree with dates", lambda w: value(index(w).where(wrong_partition)), **ZERO),
+        Check("index partitions agree with dates", lambda w: value(index(w).where(wrong_partition())), **ZERO),
         Check("index view has its columns", lambda w: value(w.spark.range(len(index(w).columns))), len(CONSTITUENT), len(CONSTITUENT)),
         Check("members are not behind prices", lambda w: w.vendor_v_last_trading_day.select(c("date").alias("p")).crossJoin(index(w).agg(F.max("date").alias("m"))).select(F.datediff("p", "m").cast("double").alias("value")), most=5),
         Check("every member has prices", lambda w: value(w.vendor_v_index_universe.where(~c("has_price_history"))), **ZERO),

@@ -61,7 +61,7 @@ def aligned(w: Warehouse) -> DataFrame:
 
 def _with_previous(rows: DataFrame, *names: str) -> DataFrame:
     """p_<name>: the security's value on its row before. All in one window: one sort."""
-    return rows.select("*", *(F.lag(x).over(by_security).alias(f"p_{x}") for x in names), gap_days().alias("gap"))
+    return rows.select("*", *(F.lag(x).over(by_security()).alias(f"p_{x}") for x in names), gap_days().alias("gap"))
 
 
 def change(now: str, before: str) -> Column:
@@ -71,7 +71,7 @@ def change(now: str, before: str) -> Column:
 @view
 def returns(w: Warehouse) -> DataFrame:
     """Four returns over at most MAX_GAP days; `clean` if the feed saw a trade on both days (unknown stays unknown)."""
-    rows = _with_previous(w.aligned, "vendor", "feed", "feed_up", "raw").withColumn("seq", F.row_number().over(by_security))
+    rows = _with_previous(w.aligned, "vendor", "feed", "feed_up", "raw").withColumn("seq", F.row_number().over(by_security()))
     near = rows.where((c("gap") <= MAX_GAP) & (c("p_vendor") > 0) & (c("p_feed") > 0))
     return near.select(
         "stock_id", "stock_name", "date", "market", "feed_source", "seq", "vendor", "feed", "feed_up", "raw", "p_raw",
@@ -400,7 +400,7 @@ def cmp_feed_hole(w: Warehouse) -> DataFrame:
 
 
 def _vendor_returns(w: Warehouse) -> DataFrame:
-    rows = w.vendor_v_adj_daily_prices.select(*KEY, "market", "close", "return_pct", "volume_k_shares", F.lag("close").over(by_security).alias("p"), gap_days().alias("gap"))
+    rows = w.vendor_v_adj_daily_prices.select(*KEY, "market", "close", "return_pct", "volume_k_shares", F.lag("close").over(by_security()).alias("p"), gap_days().alias("gap"))
     return rows.where((c("gap") <= MAX_GAP) & (c("p") > 0)).withColumn("off", F.abs(c("return_pct") / 100 - (F.try_divide(c("close"), c("p")) - 1)))
 
 

@@ -54,12 +54,12 @@ def month_end_close(w: Warehouse, ids: list[str]) -> DataFrame:
 
 def daily_return(w: Warehouse, stock_id: str) -> DataFrame:
     rows = w.feed_v_adj_daily_prices.where(c("stock_id") == stock_id)
-    return rows.select("date", "close", (F.try_divide(c("close"), F.lag("close").over(by_security)) - 1).alias("daily_return"))
+    return rows.select("date", "close", (F.try_divide(c("close"), F.lag("close").over(by_security())) - 1).alias("daily_return"))
 
 
 def moving_average(w: Warehouse, stock_id: str, n: int = 20) -> DataFrame:
     """Mean of the last n closes, null until there are n."""
-    last = by_security.rowsBetween(-(n - 1), 0)
+    last = by_security().rowsBetween(-(n - 1), 0)
     rows = w.vendor_v_adj_daily_prices.where(c("stock_id") == stock_id)
     return rows.select("date", "close", F.when(F.count("*").over(last) == n, F.round(F.avg("close").over(last), 6)).alias("average"))
 
@@ -165,7 +165,7 @@ def corporate_action_proxy(w: Warehouse) -> DataFrame:
     """Days on which the feed's adjustment factor moves by more than half a per cent, by year."""
     factor = F.try_divide(c("adj_close"), F.when(c("close") != 0, c("close")))
     rows = w.feed_v_prices_combined.select("stock_id", "date", "year", factor.alias("f"))
-    moved = rows.withColumn("p", F.lag("f").over(by_security)).where(F.abs(F.try_divide(c("f"), c("p")) - 1) > 0.005)
+    moved = rows.withColumn("p", F.lag("f").over(by_security())).where(F.abs(F.try_divide(c("f"), c("p")) - 1) > 0.005)
     return moved.groupBy("year").agg(F.count("*").alias("days"), F.countDistinct("stock_id").alias("securities"))
 
 

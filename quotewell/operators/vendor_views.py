@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotewell.functions.exprs import c, last_by
@@ -82,7 +82,8 @@ def vendor_v_workbooks(w: Warehouse) -> DataFrame:
     return w.vendor_workbooks.select("source_file", "stock_id", *WORKBOOK)
 
 
-FILE_MB = F.round(F.col("file_bytes") / F.lit(1024.0) / F.lit(1024.0), 2).alias("file_mb")
+def file_mb() -> Column:
+    return F.round(F.col("file_bytes") / F.lit(1024.0) / F.lit(1024.0), 2).alias("file_mb")
 
 
 @view
@@ -95,7 +96,7 @@ def vendor_v_workbook_status(w: Warehouse) -> DataFrame:
     status = w.vendor_v_workbooks.join(w.vendor_v_securities, "stock_id", "left").join(later, "last_date", "left")
     return status.select(
         "stock_id", "stock_name", "source_file", "modified_at", "first_date", "last_date", "trading_days", "declared_rows", (c("declared_rows") - c("trading_days")).alias("rows_delta"),
-        "is_current", F.coalesce("days_behind", F.lit(0)).alias("days_behind"), "query_matches_contract", FILE_MB,
+        "is_current", F.coalesce("days_behind", F.lit(0)).alias("days_behind"), "query_matches_contract", file_mb(),
     )
 
 
@@ -173,5 +174,5 @@ def vendor_v_index_workbook_status(w: Warehouse) -> DataFrame:
     status = w.vendor_v_index_workbooks.join(parsed, ["index_id", "year"], "left")
     return status.select(
         "index_id", "year", "source_file", "modified_at", "first_date", "last_date", "sessions", "parsed_rows", "declared_rows", (c("declared_rows") - c("parsed_rows")).alias("rows_delta"),
-        (c("year") == F.year(today)).alias("is_current_year"), "query_matches_contract", FILE_MB,
+        (c("year") == F.year(today)).alias("is_current_year"), "query_matches_contract", file_mb(),
     )
