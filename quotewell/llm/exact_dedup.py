@@ -1,7 +1,8 @@
 """Exact deduplication by content sort (DataFrame operators only).
 
-Sampled splitters range-partition the whole normalised texts, an external sort within each partition puts equal
-texts next to each other, and a window compares neighbours in full; no hash decides equality there.
+Sampled splitters range-partition the normalised texts by their first PREFIX characters and, where those are equal, a hash, so that splitters
+are small and headers that many texts share do not gather them. An external sort of the whole texts within each partition puts equal texts next to
+each other, and a window compares neighbours in full; no hash decides equality there.
 
 A text that alone holds more than 1/HOT_SHARE of the rows is dealt out over salted slices, each sorted like any
 other text. The at most HOT_SHARE such texts are then joined across their slices, one row a slice.
@@ -21,6 +22,7 @@ from .common import materialise, text_or_empty
 
 #: A text is hot with more than one in so many rows; so at most this many texts are hot, whatever the size of the table.
 HOT_SHARE = 2048
+PREFIX = 32
 
 
 def hot_texts(rows: DataFrame) -> list[int]:
@@ -34,11 +36,14 @@ def _grouped(rows: DataFrame, keep: str, carried: list[str]) -> DataFrame:
     """rows (id, t, carried) -> id, carried, keep, n (the group's size), kept."""
     hot = hot_texts(rows)
     slices = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.xxhash64("t").isin(hot) if hot else F.lit(False)
-    salted = rows.withColumn("hot", is_hot).withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(slices))).otherwise(F.lit(0).cast("long")))
+    salted = rows.withColumn("head", F.left("t", F.lit(PREFIX))).withColumn("hash", F.xxhash64("t")).withColumn("hot", F.col("hash").isin(hot) if hot else F.lit(False))
+    place = ["head", "hash"]
+    if hot:
+        salted = salted.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(slices))).otherwise(F.lit(0).cast("long")))
+        place.append("salt")
     order = F.desc_nulls_last("id") if keep == "largest" else F.asc_nulls_last("id")
-    near = Window.partitionBy("t", "salt")
-    sorted_rows = salted.repartitionByRange("t", "salt").sortWithinPartitions("t", "salt", order)
+    near = Window.partitionBy(*place, "t")
+    sorted_rows = salted.repartitionByRange(*place).sortWithinPartitions(*place, "t", order)
     local = sorted_rows.select(
         "id", "hot", F.sha2("t", 256).alias("sha"), *carried,
         F.row_number().over(near.orderBy(order)).alias("rn"), F.first("id").over(near.orderBy(order)).alias("keep"), F.count("*").over(near).alias("n"),
