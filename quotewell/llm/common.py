@@ -54,5 +54,15 @@ def row_key(row_id: Column, text: Column) -> Column:
     return F.unhex(F.md5(F.concat(named, text).cast("binary")))
 
 
+#: Bytes of texts that Python gets at once.
+BATCH_BYTES = 8 << 20
+
+
+def to_python(df: DataFrame) -> DataFrame:
+    """df, with the session's Arrow batches bounded by bytes: rows are whole texts, and by rows alone a batch may be any size."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    return df
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

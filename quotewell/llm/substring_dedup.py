@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_intdigest
 
 from .bwt import long_prefixes
-from .common import load, materialise, text_or_empty
+from .common import load, materialise, text_or_empty, to_python
 
 LENGTH, K = 400, 32
 #: Bytes of a text hashed at once; windows of the next stretch overlap.
@@ -230,18 +230,19 @@ def substring_dedup(docs: DataFrame, *, length: int = LENGTH, k: int = K, id_col
     if not 2 * k <= length < STRETCH:
         raise ValueError("length must be at least 2 k, and less than STRETCH")
     text = text_or_empty(text_col)
-    named = docs.select(F.col(id_col).alias("id"), text.alias("text"))
+    named = to_python(docs).select(F.col(id_col).alias("id"), text.alias("text"))
     rows = named.select("id", "text", F.xxhash64("id", "text").alias("d1"), F.xxhash64(F.lit(1), "text", "id").alias("d2"))
     found = rows.where(F.octet_length("text") >= length).select("d1", "d2", "text").mapInArrow(_anchor_rows(length, k), "h long, c1 long, c2 long, d1 long, d2 long, lo int, hi int")
     found = materialise(found, "anchors")
-    shared = found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # sides of joins are written first: then the adaptive join may split a hash that very many texts share
+    shared = materialise(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "shared")
     found = materialise(found.join(shared, "h"), "shared-anchors")
     place = F.struct("d1", "d2", "lo")
     by_context = found.groupBy("h", "c1", "c2").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     by_context = materialise(by_context, "contexts")
-    different = by_context.groupBy("h").agg(F.count("*").alias("contexts"))
-    told = by_context.join(different, "h").select("h", "c1", "c2", "n", "first", "contexts")
-    marks = found.join(told, ["h", "c1", "c2"]).where("n > 1 OR contexts > 1").select(
+    different = materialise(by_context.groupBy("h").agg(F.count("*").alias("contexts")), "different")
+    told = materialise(by_context.join(different, "h").where("n > 1 OR contexts > 1").select("h", "c1", "c2", "n", "first", "contexts"), "told")
+    marks = found.join(told, ["h", "c1", "c2"]).select(
         "d1", "d2", "lo", "hi", "h", (F.col("n") > 1).alias("whole"), (F.col("contexts") > HOT_CONTEXTS).alias("hot"), ((F.col("contexts") > 1) & (F.col("first") == place)).alias("open")
     )
     marks = materialise(marks.distinct(), "marks")  # rows equal in id and text share their marks
