@@ -6,7 +6,7 @@ minimum rank, until no piece has a pair. Decoding: ids join the vocabulary, and
 together; invalid UTF-8 is possible, so bytes are returned.
 
 The vocabulary (ranks as in tiktoken's files) is a parameter, read by the driver and sent to tasks: its size is that of the file.
-A partition remembers up to REMEMBERED pieces, a cache that is emptied when full; memory does not grow with the partition.
+A partition remembers about REMEMBERED pieces, a cache that is emptied when full; memory does not grow with the partition.
 
 Cases: a null text counts as empty: no ids. Special tokens are ordinary text. Unknown ids raise an error. A piece of any length
 is encoded whole. Equal rows give equal results; empty tables give empty results; other columns are ignored.
@@ -26,40 +26,44 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load
+from .common import load, to_python
 
-REMEMBERED = 900_000
+REMEMBERED = 300_000
 #: Texts encoded together: their new pieces share a query.
-DOCS_AT_ONCE = 1_000
+DOCS_AT_ONCE = 800
 #: Characters of pieces that one recursive query takes at most, unless a single piece is longer.
-QUERY_CHARS = 4_000_000
+QUERY_CHARS = 1_000_000
 
 #: Rust's and Unicode's white space; Python's \s has four separators more.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A single blank between two solid characters always starts a piece: what stands before it is split by itself.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD_BLANK = re.compile(r"\s | \s|^ | $")
 #: Tokens that one decoding query takes at most, unless a single text has more.
-QUERY_TOKENS = 500_000
+QUERY_TOKENS = 400_000
 
+
+def _plain(text: str) -> bool:
+    """Every blank stands between two solid characters. Printable text has no white space but blanks; line ends are looked at apart."""
+    return text.replace("\n", "").isprintable() and not ("  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ")
+
+
+#: Each step makes a row of every position whose token has a neighbour; a pick holds the rank and, in its lower half, the place.
 ENCODE = """
-WITH RECURSIVE steps(w, pos, id, open) AS (
-    SELECT w, pos, id, true FROM pieces
+WITH RECURSIVE steps(w, ids, open) AS (
+    SELECT w, ids, true FROM pieces
     UNION ALL
     (WITH line AS (
-        SELECT w, pos, id, lead(id) OVER own AS next_id, lead(pos) OVER own AS next_pos
-        FROM steps WHERE open WINDOW own AS (PARTITION BY w ORDER BY pos)),
+        SELECT w, unnest(ids[:-2]) AS a, unnest(ids[2:]) AS b, generate_subscripts(ids[2:], 1) AS place FROM steps WHERE open),
     best AS (
-        SELECT w, min(merged * 4294967296 + pos) AS pick, arg_min(next_pos, merged * 4294967296 + pos) AS gone
-        FROM line JOIN merges ON a = id AND b = next_id GROUP BY w)
-    SELECT line.w, pos, CASE WHEN pos = (pick & 4294967295) THEN (pick >> 32)::INTEGER ELSE id END, pick IS NOT NULL
-    FROM line LEFT JOIN best ON best.w = line.w WHERE pick IS NULL OR pos <> gone))
-SELECT w, list(id ORDER BY pos) AS ids FROM steps WHERE NOT open GROUP BY w
+        SELECT w, min(merged << 32 | place) AS pick FROM line JOIN merges ON pair = (a::BIGINT << 32 | b) GROUP BY w)
+    SELECT steps.w, CASE WHEN pick IS NULL THEN ids ELSE ids[:(pick & 4294967295) - 1] || [(pick >> 32)::INTEGER] || ids[(pick & 4294967295) + 2:] END, pick IS NOT NULL
+    FROM steps LEFT JOIN best ON best.w = steps.w WHERE open))
+SELECT w, ids FROM steps WHERE NOT open
 """
 
 DECODE = """
 SELECT doc, string_agg(v.chars, '' ORDER BY t.pos) AS chars
-FROM tokens t LEFT JOIN vocabulary v ON v.id = t.id GROUP BY doc
+FROM tokens t JOIN vocabulary v ON v.id = t.id GROUP BY doc
 """
 
 
@@ -78,18 +82,18 @@ class Codec:
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks the bytes {missing[:5]}")
-        self.byte_id = [ranks[bytes([b])] for b in range(256)]
-        splits = [(ranks[t[:k]], ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
-        a, b, merged = (pa.array(x, pa.int32()) for x in zip(*splits, strict=True)) if splits else (pa.array([], pa.int32()),) * 3
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        splits = [(ranks[t[:k]] << 32 | ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         # Latin-1 characters stand for bytes: DuckDB aggregates strings, not blobs
-        self._keep("merges", {"a": a, "b": b, "merged": merged.cast(pa.int64())})
+        self._keep("merges", {"pair": pa.array([x for x, _ in splits], pa.int64()), "merged": pa.array([x for _, x in splits], pa.int64())})
         self._keep("vocabulary", {"id": pa.array(ranks.values(), pa.int32()), "chars": pa.array([t.decode("latin-1") for t in ranks])})
+        self.is_id = np.zeros(max(ranks.values()) + 1, bool)
+        self.is_id[list(ranks.values())] = True
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.pattern = regex.compile(pattern.replace(r"[^\s\p{L}", rf"[^{WHITE}\p{{L}}").replace(r"(?!\S)", rf"(?![^{WHITE}])").replace(r"\s+", rf"[{WHITE}]+"))
-        #: Ids, four bytes each.
-        self.pieces: dict[str, bytes] = {}
-        #: Of chunks that a blank precedes: their ids, as four bytes each.
-        self.chunks: dict[str, bytes] = {}
+        #: Ids, four bytes each, of what a blank precedes (without the blank: whole chunks and single pieces alike), and of other pieces.
+        self.led: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}
 
     def _keep(self, name: str, columns: dict[str, pa.Array]) -> None:
         self.db.register("incoming", pa.table(columns))
@@ -98,41 +102,48 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.pieces) + len(self.chunks) > REMEMBERED:
-            self.pieces, self.chunks = {}, {}
-        cut = [t.split(" ") if not _ODD_BLANK.search(t) else _CUT.split(t) for t in texts]
-        known = self.chunks
-        fresh = [c for c in dict.fromkeys(c for chunks in cut for c in chunks[1:]) if c not in known]
-        split = self.pattern.findall
-        parts, heads = [split(" " + c) for c in fresh], [split(chunks[0]) for chunks in cut]
-        self._contract(list(dict.fromkeys(p for part in (parts, heads) for own in part for p in own if p not in self.pieces)))
-        ids = self.pieces
-        known.update((c, b"".join(ids[p] for p in own)) for c, own in zip(fresh, parts, strict=True))
-        return [np.frombuffer(b"".join(ids[p] for p in head) + b"".join(map(known.__getitem__, chunks[1:])), np.int32) for head, chunks in zip(heads, cut, strict=True)]
-
-    def _contract(self, pieces: list[str]) -> None:
+        if len(self.led) > REMEMBERED:
+            self.led = {}
+        if len(self.bare) > REMEMBERED // 4:
+            self.bare = {}
+        led, bare, split = self.led, self.bare, self.pattern.findall
+        cut = [t.split(" ") if _plain(t) else _CUT.split(t) for t in texts]
+        tails = [chunks[1:] for chunks in cut]
+        fresh = set().union(*tails).difference(led)
+        # letters only: one piece
+        several = {c: split(" " + c) for c in fresh if not c.isalpha()}
+        heads = [split(chunks[0]) for chunks in cut]
+        pieces = {p for some in (several.values(), heads) for own in some for p in own}
+        fresh.difference_update(several)
+        fresh.update(p[1:] for p in pieces if p[0] == " " and p[1:] not in led)
+        self._contract(list(fresh), " ", led)
+        self._contract([p for p in pieces if p[0] != " " and p not in bare], "", bare)
+        ids = lambda own: b"".join([led[p[1:]] if p[0] == " " else bare[p] for p in own])
+        led.update((c, ids(own)) for c, own in several.items())
+        return [np.frombuffer(ids(head) + b"".join(map(led.__getitem__, tail)), np.int32) for head, tail in zip(heads, tails, strict=True)]
+
+    def _contract(self, pieces: list[str], before: str, into: dict[str, bytes]) -> None:
         """Ids of pieces not known yet, by recursive queries."""
-        todo, size = [], 0
-        for p in pieces:
-            todo.append(p.encode())
-            size += len(todo[-1])
-            if size >= QUERY_CHARS:
-                self._query(todo)
-                todo, size = [], 0
-        if todo:
-            self._query(todo)
-
-    def _query(self, todo: list[bytes]) -> None:
-        lengths = np.array([len(raw) for raw in todo], np.int64)
-        ids = np.array(self.byte_id, np.int32)[np.frombuffer(b"".join(todo), np.uint8)]
-        w = np.repeat(np.arange(len(todo), dtype=np.int32), lengths)
-        pos = (np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
-        self._keep("pieces", {"w": pa.array(w), "pos": pa.array(pos), "id": pa.array(ids)})
+        first, size = 0, 0
+        for k, p in enumerate(pieces):
+            size += len(p) + 1
+            if size >= QUERY_CHARS or k + 1 == len(pieces):
+                todo = pieces[first : k + 1]
+                into.update(zip(todo, self._query([(before + x).encode() for x in todo]), strict=True))
+                first, size = k + 1, 0
+
+    def _query(self, todo: list[bytes]) -> list[bytes]:
+        offsets = np.cumsum([0, *map(len, todo)]).astype(np.int32)
+        ids = self.byte_id[np.frombuffer(b"".join(todo), np.uint8)]
+        self.db.register("pieces", pa.table({"w": pa.array(np.arange(len(todo), dtype=np.int32)), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))}))
         got = self.db.sql(ENCODE).to_arrow_table()
+        self.db.unregister("pieces")
         lists = got["ids"].combine_chunks()
-        values, at = np.asarray(lists.flatten(), np.int32), lists.offsets.to_numpy()
-        for k, start, stop in zip(got["w"].to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
-            self.pieces[todo[k].decode()] = values[start:stop].tobytes()
+        raw, at = np.asarray(lists.flatten(), np.int32).tobytes(), (lists.offsets.to_numpy() - lists.offsets[0].as_py()) * 4
+        out = [b""] * len(todo)
+        for k, start, stop in zip(got["w"].to_numpy().tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
+            out[k] = raw[start:stop]
+        return out
 
     def decode(self, texts: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids, by ordered aggregations."""
@@ -148,10 +159,9 @@ class Codec:
     def _aggregate(self, texts: list[np.ndarray]) -> list[tuple[int, str]]:
         ids = np.concatenate(texts).astype(np.int32)
         doc = np.repeat(np.arange(len(texts), dtype=np.int32), [len(x) for x in texts])
+        if len(ids) and not (ids.min() >= 0 and ids.max() < len(self.is_id) and self.is_id[ids].all()):
+            raise ValueError("an id is not in the vocabulary")
         self._keep("tokens", {"doc": pa.array(doc), "pos": pa.array(np.arange(len(ids), dtype=np.int32)), "id": pa.array(ids)})
-        lost = self.db.execute("SELECT min(t.id) FROM tokens t ANTI JOIN vocabulary v ON v.id = t.id").fetchone()[0]
-        if lost is not None:
-            raise ValueError(f"id {lost} is not in the vocabulary")
         return self.db.execute(DECODE).fetchall()
 
 
@@ -166,7 +176,7 @@ def _encoded(ranks: dict[bytes, int], pattern: str, batches: Iterator[pa.RecordB
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")), docs.schema[id_col].dataType.simpleString()
+    return to_python(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))), docs.schema[id_col].dataType.simpleString()
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
