@@ -44,6 +44,28 @@ def index_constituents_between(w: Warehouse, lo: Day, hi: Day) -> DataFrame:
     return between(w.vendor_v_index_constituents, lo, hi)
 
 
+def effective_on(reviews: DataFrame, on: Day) -> DataFrame:
+    """Rows of a review log in force on a day: effective_date <= day < next_effective_date (open if null)."""
+    when = F.lit(day(on))
+    return reviews.where((c("effective_date") <= when) & (c("next_effective_date").isNull() | (c("next_effective_date") > when)))
+
+
+def effective_by_session(reviews: DataFrame, calendar: DataFrame) -> DataFrame:
+    """A row for each session on which a review is in force. Sessions are numbered, so that intervals expand without a range join."""
+    from pyspark.sql import Window
+
+    days = calendar.select("date").distinct().withColumn("no", F.row_number().over(Window.orderBy("date")))  # a row a session
+    ends = reviews.select("effective_date").unionByName(reviews.select(c("next_effective_date").alias("effective_date"))).where("effective_date IS NOT NULL").distinct()
+    # for each end of an interval, the first session not before it: sessions and ends in one order
+    marked = days.select(c("date").alias("at"), "no").unionByName(ends.select(c("effective_date").alias("at"), F.lit(None).cast("int").alias("no")))
+    following = marked.withColumn("first", F.min("no").over(Window.orderBy("at").rangeBetween(Window.currentRow, Window.unboundedFollowing))).where("no IS NULL").select("at", "first")
+    last = F.broadcast(days.agg(F.max("no").alias("last")))
+    opened = reviews.join(following.select(c("at").alias("effective_date"), c("first").alias("a")), "effective_date")
+    closed = opened.join(following.select(c("at").alias("next_effective_date"), c("first").alias("b")), "next_effective_date", "left").crossJoin(last)
+    spans = closed.withColumn("z", F.coalesce(c("b") - 1, c("last"))).where("a IS NOT NULL AND a <= z")
+    return spans.select(*reviews.columns, F.explode(F.sequence("a", "z")).alias("no")).join(F.broadcast(days), "no").drop("no")
+
+
 def index_members_on(w: Warehouse, index_id: str, as_of: Day) -> DataFrame:
     """Members of an index on exactly that session; none if it was not published, never the nearest."""
     when = day(as_of)

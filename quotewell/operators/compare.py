@@ -450,4 +450,19 @@ def cmp_disagreement_top_securities(w: Warehouse) -> DataFrame:
     return each.orderBy(F.desc("days"), "stock_id").limit(12)
 
 
+@query
+def cmp_weighted_agreement(w: Warehouse) -> DataFrame:
+    """One figure over all segments: agreement weighted by rows, from the grouped table."""
+    rows = cmp_return_agreement(w).where("both_days_traded")
+    return rows.agg(F.sum("n").alias("n"), F.round(F.sum(c("n") * c("agree_within_10bp_pct")) / F.sum("n"), 4).alias("agree_within_10bp_pct"))
+
+
+@query
+def cmp_residual_breach_share(w: Warehouse) -> DataFrame:
+    """By year, the share of unadjusted limit breaches that each source leaves in its adjusted series; null without any."""
+    rows = cmp_beyond_limit_by_year(w)
+    left = lambda x: F.when(c("unadjusted") > 0, F.round(F.lit(100.0) * c(x) / c("unadjusted"), 1)).alias(f"{x}_pct")
+    return rows.select("year", "unadjusted", left("feed_processed"), left("vendor"))
+
+
 __all__ = ["CAUSES", "QUERIES", "VIEWS", "cached"]
