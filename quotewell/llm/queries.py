@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup
+from . import exact_dedup, line_dedup, secret_scan
 from .bpe import op3_bpe
 from .licenses import op8_licenses
 from .line_dedup import op6_line_dedup
@@ -23,4 +23,4 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op3_bpe, op4_mixing, op5_substring_dedup, op6_line_dedup, op7_exact_dedup, op8_licenses, op9_simhash, op10_secrets)}
-ORACLES = {"op6_line_dedup": line_dedup.SQL, "op7_exact_dedup": exact_dedup.SQL}
+ORACLES = {"op6_line_dedup": line_dedup.SQL, "op7_exact_dedup": exact_dedup.SQL, "op10_secrets": secret_scan.SQL}

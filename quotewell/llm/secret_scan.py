@@ -122,3 +122,28 @@ def digest(found: DataFrame) -> DataFrame:
     base = F.filter("findings", lambda f: f.kind.isin(*BASE))
     count = lambda kind: F.size(F.filter("findings", lambda f: f.kind == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *map(count, BASE), F.sha2(said(base), 256).alias("base_sha256"), said(F.col("findings")).alias("spans"))
+
+
+def _sql() -> str:
+    """The same in DuckDB: RULES are written so that RE2 and java.util.regex agree on them."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    each = [
+        f"""SELECT r, {k} AS ord, '{x.kind}' AS kind, i, length(gaps[i]) + length(hits[i]) AS step, length(hits[i]) AS len, length(parts[i]) >= {x.least} AS ok
+        FROM (SELECT r, string_split_regex(t, {quoted(x.pattern)}) AS gaps, regexp_extract_all(t, {quoted(x.pattern)}) AS hits,
+                     regexp_extract_all(t, {quoted(x.pattern)}, {x.measured}) AS parts, unnest(generate_series(1, len(hits))) AS i FROM docs)"""
+        for k, x in enumerate(RULES)
+    ]
+    count = lambda kind: f"CAST(count(*) FILTER (WHERE kind = '{kind}') AS BIGINT) AS n_{kind}"
+    said = "string_agg(kind || ':' || (stop - len) || ':' || stop, ',' ORDER BY stop - len, ord)"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+matches AS ({" UNION ALL ".join(each)}),
+placed AS (SELECT *, CAST(sum(step) OVER (PARTITION BY r, ord ORDER BY i) AS BIGINT) AS stop FROM matches),
+found AS (SELECT * FROM placed WHERE ok)
+SELECT any_value(doc_id) AS doc_id, {", ".join(map(count, BASE))},
+       sha256(coalesce({said} FILTER (WHERE kind IN ({", ".join(map(quoted, BASE))})), '')) AS base_sha256, coalesce({said}, '') AS spans
+FROM docs LEFT JOIN found USING (r) GROUP BY r
+"""
+
+
+SQL = _sql()
