@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load
+from .common import load, to_python
 
 
 class Template(NamedTuple):
@@ -127,7 +127,7 @@ def document_frequency(docs: DataFrame, vocabulary: set[bytes], *, text_col: str
         names = [b"", *found]
         yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in names]), pa.array([total, *found.values()], pa.int64())], ["word", "n"])
 
-    rows = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(counting, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = to_python(docs).select(F.col(text_col).cast("string").alias("text")).mapInArrow(counting, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     counts = {r.word.encode(): r.n for r in rows}
     return counts.pop(b"", 0), counts
 
@@ -151,7 +151,7 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scanning, schema).withColumnRenamed("id", id_col)
+    return to_python(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scanning, schema).withColumnRenamed("id", id_col)
 
 
 def scan_one(text: bytes, phrases: list[tuple[bytes, str]], index: LicenseIndex) -> tuple:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import load
+from .common import load, to_python
 
 
 class UrlRule(NamedTuple):
@@ -145,7 +145,7 @@ def train(pages: DataFrame, counts: dict[str, int], *, url_col: str) -> tuple[np
         at = np.flatnonzero(total.sum(0))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int32()), *(pa.array(np.append(total[k, at], urls[k])) for k in (0, 1))], ["bucket", "good", "bad"])
 
-    rows = pages.select(F.col(url_col).cast("string").alias("url")).mapInArrow(counting, "bucket int, good long, bad long")
+    rows = to_python(pages).select(F.col(url_col).cast("string").alias("url")).mapInArrow(counting, "bucket int, good long, bad long")
     n, urls = np.zeros((2, BUCKETS)), np.zeros(2)
     for r in rows.groupBy("bucket").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).collect():
         (urls if r.bucket < 0 else n[:, r.bucket])[:] = r.good, r.bad
@@ -174,7 +174,7 @@ def judge_urls(pages: DataFrame, *, rules: tuple[UrlRule, ...] = RULES, id_col:
             yield pa.RecordBatch.from_arrays([batch["id"], *(pa.array(c, pa.string()) for c in out[:5]), pa.array(out[5], pa.float64())], ["id", "host", "path", "rule", "verdict", "words", "score"])
 
     kind = pages.schema[id_col].dataType.simpleString()
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
+    rows = to_python(pages).select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
     return rows.mapInArrow(judging, f"id {kind}, host string, path string, rule string, verdict string, words string, score double").withColumnRenamed("id", id_col)
 
 
