@@ -27,7 +27,7 @@ from .common import load, materialise, text_or_empty
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Ranges of the order's hash in a leaf; each is sorted alone, and only where the cut lies.
-ROWS_A_RANGE = 20_000
+ROWS_A_RANGE = 2_000
 
 Leaf = tuple[str, str, str]
 
