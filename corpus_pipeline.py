@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from quotewell.llm import bpe, exact_dedup, mixing, quality, simhash
 from quotewell.llm.common import fresh_path, load
 
-#: Near copies share word shingles of five; 8 of 64 bits is what a Jaccard similarity of 0.8 and more mostly stays within.
-NEAR_SHINGLE, NEAR_BITS = 5, 8
+#: Near copies share word shingles of five. A Jaccard similarity of 0.8 and more mostly stays within 10 of 64 bits; strangers sometimes do, too,
+#: but not within 16 bits of a second fingerprint as well.
+NEAR_SHINGLE, NEAR_BITS, NEAR_SECOND_BITS = 5, 10, 16
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +28,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the smallest doc_id stays. Rows without an id stay."""
-    found = simhash.near_duplicates(docs, shingle=NEAR_SHINGLE, max_bits=NEAR_BITS)
+    found = simhash.near_duplicates(docs, shingle=NEAR_SHINGLE, max_bits=NEAR_BITS, second_bits=NEAR_SECOND_BITS)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs.doc_id == gone.gone_id, "left_anti")
 

@@ -10,7 +10,8 @@ sum to max_bits - m + 1, two such fingerprints differ in at most t_i bits of som
 * Every fingerprint is stored under its parts' values and probes all values within its thresholds. Candidates are compared in
   full, in numpy, and only a spanning forest of the links found in a task leaves it: never all pairs of a group.
 
-Equal fingerprints are one node from the start. What reaches the driver is bounded: 64 x 64 bit counts and the blocks' histograms.
+With second_bits, each document has a second fingerprint of other hashes, and a link needs that one to be near as well: at a loose max_bits
+64 bits alone would link strangers in a large corpus. Equal fingerprints are one node from the start. What reaches the driver is bounded: 64 x 64 bit counts and the blocks' histograms.
 
 Cases: a null or empty text has no words and fingerprint zero, linked like any other; texts shorter than a shingle are one shingle. Null ids are
 linked but never name a component unless all are null. Repeated rows come out as often as they come in. Empty tables give empty results;
@@ -25,50 +26,62 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import load, materialise
+from .common import load, materialise, to_python
 from .components import components
 
 SEED, BITS = 42, 64
+_MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Shingles whose bits are added up at once.
 AT_ONCE = 1 << 15
 #: Pairs compared at once.
 PAIRS = 1 << 21
-#: A probe costs as much as comparing so many candidates.
-PROBE_COST = 8.0
+#: A probe, which is made, shuffled and sorted, costs as much as comparing so many candidates in numpy.
+PROBE_COST = 64.0
 BLOCK_BITS = 16
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
-    """Words are what bytes.split() gives: runs of other than [\\x20\\x09-\\x0D]; bytes.lower() changes A-Z alone."""
+    """The fingerprint proper."""
+    return fingerprint_pair(text, shingle, False)[0]
+
+
+def fingerprint_pair(text: bytes, shingle: int, second: bool) -> tuple[int, int]:
+    """The fingerprint and, if asked for, a second one, of the mixed hashes. Words are what bytes.split() gives: runs of other than [\\x20\\x09-\\x0D]; bytes.lower() changes A-Z alone."""
     words = text.lower().split()
     if not words:
-        return 0
+        return 0, 0
     n = max(1, len(words) - shingle + 1)
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = (ends - np.diff(ends, prepend=0))[:n].tolist()
     stops = (ends - 1)[-n:].tolist()
-    ones = np.zeros(BITS, np.int64)
+    ones = np.zeros((2, BITS), np.int64)
     for at in range(0, n, AT_ONCE):
         h = np.fromiter((xxh64_intdigest(line[a:b], SEED) for a, b in zip(starts[at : at + AT_ONCE], stops[at : at + AT_ONCE], strict=True)), ">u8")
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes())
+        ones[0] += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        if second:
+            m = h.astype(np.uint64)
+            for _ in range(2):
+                m = (m ^ (m >> np.uint64(32))) * _MIX
+            ones[1] += _bits(m).sum(0, dtype=np.int64)
+    one, two = (int.from_bytes(x.tobytes()) for x in np.packbits(2 * ones > n, axis=1))
+    return one, two
 
 
-def fingerprints(docs: DataFrame, *, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, fp (the 64 bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, *, shingle: int, second: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, fp, fp2 (64 bits each as a signed long; fp2 is 0 unless asked for) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = np.fromiter((fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle) for x in batch["text"]), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(got.view(np.int64))], ["id", "fp"])
+            got = np.array([fingerprint_pair(x.as_buffer().to_pybytes() if x.is_valid else b"", shingle, second) for x in batch["text"]], np.uint64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch["id"], *(pa.array(np.ascontiguousarray(got[:, k]).view(np.int64)) for k in (0, 1))], ["id", "fp", "fp2"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp long")
+    return to_python(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, fp long, fp2 long")
 
 
 def _bits(fp: np.ndarray) -> np.ndarray:
@@ -114,14 +127,15 @@ def group_bits(together: np.ndarray, n: int, widths: list[int]) -> list[list[int
 def widths_for(n: int, max_bits: int) -> list[int]:
     """Widths of the parts, for the least probes plus candidates if values were uniform. More rows: fewer, wider parts."""
 
+    def widths(m: int) -> list[int]:
+        return [BITS // m + (k < BITS % m) for k in range(m)]
+
     def cost(m: int) -> float:
-        w, budget = BITS // m, max_bits - m + 1
-        t = [budget // m + (k < budget % m) for k in range(m)]
-        probes = sum(comb(w, d) for x in t for d in range(x + 1))
-        return PROBE_COST * (probes + m) + n * probes / 2.0**w
+        budget = max_bits - m + 1
+        probes = [sum(comb(w, d) for d in range(budget // m + (k < budget % m) + 1)) for k, w in enumerate(widths(m))]
+        return PROBE_COST * (sum(probes) + m) + n * sum(p / 2.0**w for p, w in zip(probes, widths(m), strict=True))
 
-    m = min(range(1, max_bits + 2), key=cost)
-    return [BITS // m + (k < BITS % m) for k in range(m)]
+    return widths(min(range(1, max_bits + 2), key=cost))
 
 
 class Plan:
@@ -194,30 +208,35 @@ class Plan:
         return out
 
     def signatures(self, fp: np.ndarray) -> Iterator[tuple[np.ndarray, bool, np.ndarray]]:
-        """(key, is a probe, fp): where each fingerprint is stored, and what it probes."""
+        """(key, is a probe, which fingerprints): where each is stored, and what it probes."""
         bits = _bits(fp)
         t = self.thresholds(bits)
         for k, part in enumerate(self.parts):
             values = self.pick(bits, part)
             key = lambda v: (v << np.uint64(6)) | np.uint64(k) if len(self.parts) > 1 else v  # noqa: B023, E731
-            yield key(values), False, fp
+            yield key(values), False, np.ones(len(fp), bool)
             for d in range(self.max_bits + 1):
                 if (own := t[:, k] >= d).any():
                     for mask in self.masks[k][d]:
-                        yield key(values[own] ^ mask), True, fp[own]
+                        yield key(values[own] ^ mask), True, own
 
 
-def _linked(max_bits: int):
+def _linked(max_bits: int, second_bits: int | None):
     """Over rows sorted by key: compare probes with what is stored under their key; emit a spanning forest of a batch's links."""
 
-    def links(key: np.ndarray, probe: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+    def links(key: np.ndarray, probe: np.ndarray, fp: np.ndarray, fp2: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((probe, key))
-        key, probe, fp = key[order], probe[order], fp[order]
+        key, probe, fp, fp2 = key[order], probe[order], fp[order], fp2[order]
         stored = ~probe
         n_stored = np.concatenate([[0], np.cumsum(stored)])
         asked = np.flatnonzero(probe)
         first, last = n_stored[np.searchsorted(key, key[asked], "left")], n_stored[np.searchsorted(key, key[asked], "right")]
-        names, number = np.unique(fp, return_inverse=True)
+        if second_bits is None:
+            names, number = np.unique(fp, return_inverse=True)
+            names2 = np.zeros_like(names)
+        else:
+            (names, names2), number = np.unique(np.stack([fp, fp2]), axis=1, return_inverse=True)
+            number = number.ravel()
         held, root = number[stored], np.arange(len(names))
         count = last - first
         asked, first, count = asked[count > 0], first[count > 0], count[count > 0]
@@ -230,16 +249,20 @@ def _linked(max_bits: int):
                 other = held[np.arange(len(row)) - np.repeat(np.cumsum(c) - c, c) + first[row] + start]
                 own = number[asked[row]]
                 differ = np.bitwise_count(names[own].view(np.uint64) ^ names[other].view(np.uint64))
-                ok = (differ <= max_bits) & (own != other)
-                _unite(root, own[ok], other[ok])
+                ok = np.flatnonzero((differ <= max_bits) & (own != other))
+                own, other = own[ok], other[ok]
+                if second_bits is not None:
+                    ok = np.bitwise_count(names2[own].view(np.uint64) ^ names2[other].view(np.uint64)) <= second_bits
+                    own, other = own[ok], other[ok]
+                _unite(root, own, other)
             at = upto
         moved = np.flatnonzero(root != np.arange(len(names)))
-        return pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[root[moved]])], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (names[moved], names2[moved], names[root[moved]], names2[root[moved]])], ["a", "a2", "b", "b2"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         for batch in batches:
-            got = [batch[c].to_numpy(zero_copy_only=False) for c in ("key", "probe", "fp")]
+            got = [batch[c].to_numpy(zero_copy_only=False) for c in ("key", "probe", "fp", "fp2")]
             if rest is not None:
                 got = [np.concatenate(x) for x in zip(rest, got, strict=True)]
             whole = int(np.searchsorted(got[0], got[0][-1], "left")) if len(got[0]) else 0  # the last key may go on
@@ -264,8 +287,13 @@ def _unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = up
 
 
-def near_links(nodes: DataFrame, *, max_bits: int) -> DataFrame:
-    """nodes (fp, distinct) -> links (a, b) that join exactly what differs in at most max_bits bits, directly or through others."""
+def _node(fp: str, fp2: str, second: bool) -> Column:
+    """The name of a node: its fingerprint, or both as text."""
+    return F.concat(F.lpad(F.hex(fp), 16, "0"), F.lpad(F.hex(fp2), 16, "0")) if second else F.col(fp)
+
+
+def near_links(nodes: DataFrame, *, max_bits: int, second_bits: int | None = None) -> DataFrame:
+    """nodes (fp, fp2; distinct) -> links (a, b) that join exactly what differs in at most max_bits (second_bits) bits, directly or through others."""
     stats = _summed(nodes, BITS * BITS + 1, lambda fp: np.append((_bits(fp).T.astype(np.int64) @ _bits(fp).astype(np.int64)).ravel(), len(fp)))
     n = int(stats[-1])
     plan = Plan(group_bits(stats[:-1].reshape(BITS, BITS), n, widths_for(n, max_bits)), max_bits)
@@ -273,24 +301,28 @@ def near_links(nodes: DataFrame, *, max_bits: int) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, probe, fp in plan.signatures(batch["fp"].to_numpy().view(np.uint64)):
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(key), probe)), pa.array(fp.view(np.int64))], ["key", "probe", "fp"])
+            fp, fp2 = batch["fp"].to_numpy(), batch["fp2"].to_numpy()
+            for key, probe, own in plan.signatures(fp.view(np.uint64)):
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(key), probe)), pa.array(fp[own]), pa.array(fp2[own])], ["key", "probe", "fp", "fp2"])
 
-    rows = nodes.select("fp").mapInArrow(spread, "key long, probe boolean, fp long")
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_linked(max_bits), "a long, b long")
+    rows = nodes.select("fp", "fp2").mapInArrow(spread, "key long, probe boolean, fp long, fp2 long")
+    found = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_linked(max_bits, second_bits), "a long, a2 long, b long, b2 long")
+    second = second_bits is not None
+    return found.select(_node("a", "a2", second).alias("a"), _node("b", "b2", second).alias("b"))
 
 
-def near_duplicates(docs: DataFrame, *, shingle: int, max_bits: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, shingle: int, max_bits: int, second_bits: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, fp, component_id (the smallest id that links reach)."""
-    if shingle < 1 or not 0 <= max_bits <= 8:
-        raise ValueError("shingle must be at least 1 and max_bits from 0 to 8")
-    rows = materialise(fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col), "fingerprints")
-    nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("low")), "nodes")
-    roots = components(near_links(nodes, max_bits=max_bits))
-    rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    if shingle < 1 or not 0 <= max_bits <= 12:
+        raise ValueError("shingle must be at least 1 and max_bits from 0 to 12")
+    second = second_bits is not None
+    rows = materialise(fingerprints(docs, shingle=shingle, second=second, id_col=id_col, text_col=text_col).withColumn("mine", _node("fp", "fp2", second)), "fingerprints")
+    nodes = materialise(rows.groupBy("mine", "fp", "fp2").agg(F.min("id").alias("low")), "nodes")
+    roots = components(near_links(nodes, max_bits=max_bits, second_bits=second_bits))
+    rooted = nodes.join(roots, nodes.mine == roots.node, "left").select("mine", "low", F.coalesce("root", "mine").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    named = materialise(rooted.join(lowest, "root").select("mine", "component_id"), "named")  # written, so that the next join may split a common fingerprint
+    return rows.join(named, "mine").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,7 +45,7 @@ def test_exact_keeps_the_largest_of_equals(stages):
 
 def test_near_keeps_one_of_each_group(stages):
     rows = stages["exact"]
-    prints = [simhash.fingerprint(r.text.encode(), cp.NEAR_SHINGLE) for r in rows]
+    prints = [simhash.fingerprint_pair(r.text.encode(), cp.NEAR_SHINGLE, True) for r in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -55,7 +55,7 @@ def test_near_keeps_one_of_each_group(stages):
 
     for i in range(len(rows)):
         for k in range(i):
-            if (prints[i] ^ prints[k]).bit_count() <= cp.NEAR_BITS:
+            if (prints[i][0] ^ prints[k][0]).bit_count() <= cp.NEAR_BITS and (prints[i][1] ^ prints[k][1]).bit_count() <= cp.NEAR_SECOND_BITS:
                 root[find(i)] = find(k)
     least = {}
     for i, r in enumerate(rows):

@@ -51,7 +51,7 @@ def test_links_against_all_pairs(spark, most, bits):
     rnd = random.Random(most * 100 + bits)
     base = [rnd.getrandbits(bits) for _ in range(60)]
     values = list({b ^ sum(1 << x for x in rnd.sample(range(64), rnd.randint(0, most + 1))) for b in base for _ in range(4)})
-    nodes = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fp long").repartition(3)
+    nodes = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v, 0) for v in values], "fp long, fp2 long").repartition(3)
     roots = {r.node % (1 << 64): r.root for r in components.components(s.near_links(nodes, max_bits=most)).collect()}
     want = clusters(values, most)
     assert len(set(want.values())) == len({roots.get(v, v) if v in roots else v for v in values})
@@ -64,7 +64,7 @@ def test_links_against_all_pairs(spark, most, bits):
 def test_large_group_makes_few_links(spark, monkeypatch):
     monkeypatch.setattr(s, "PAIRS", 64)
     values = [a << 32 | b for a in range(16) for b in range(16)]
-    out = s.near_links(spark.createDataFrame([(v,) for v in values], "fp long"), max_bits=3)
+    out = s.near_links(spark.createDataFrame([(v, 0) for v in values], "fp long, fp2 long"), max_bits=3)
     assert out.count() < 16 * len(values) and components.components(out).select("root").distinct().count() == 1
 
 
@@ -82,6 +82,34 @@ def test_thresholds_sum_and_find_everything():
             assert (t >= -1).all() and (t.sum(1) == most - len(widths) + 1).all()
 
 
+def test_second_fingerprint(spark, documents):
+    rnd = random.Random(8)
+    values = list({(a ^ rnd.getrandbits(2), b ^ rnd.getrandbits(rnd.choice((3, 20)))) for a in (0, 1 << 40) for b in (0, 7 << 50) for _ in range(12)})
+    nodes = spark.createDataFrame(values, "fp long, fp2 long")
+    got = {r.node: r.root for r in components.components(s.near_links(nodes, max_bits=4, second_bits=5)).collect()}
+    root = list(range(len(values)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(values)):
+        for k in range(i):
+            if (values[i][0] ^ values[k][0]).bit_count() <= 4 and (values[i][1] ^ values[k][1]).bit_count() <= 5:
+                root[find(i)] = find(k)
+    name = lambda v: f"{v[0]:016X}{v[1]:016X}"
+    groups = {}
+    for i, v in enumerate(values):
+        groups.setdefault(find(i), set()).add(got.get(name(v), name(v)))
+    assert len(groups) > 2 and all(len(g) == 1 for g in groups.values()) and len(set().union(*groups.values())) == len(groups)
+    text = "one two three four five six seven eight nine ten eleven"
+    assert s.fingerprint_pair(text.encode(), 3, True)[0] == brute(text, 3) and s.fingerprint_pair(text.encode(), 3, True)[1] != brute(text, 3)
+    rows = [(1, text), (2, text), (3, "else " * 12), (4, None)]
+    out = {r.doc_id: r.component_id for r in s.near_duplicates(documents(rows), shingle=5, max_bits=10, second_bits=16).collect()}
+    assert out == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
 def test_documents(documents):
     rows = [(4, "a b c d e"), (2, "A b C d e"), (9, None), (7, ""), (None, "a b c d e"), (None, "q r s t"), (5, "a b c d e"), (5, "a b c d e"), (1, "zz " * 9), (3, "one two three four")]
     out = s.near_duplicates(documents(rows), shingle=3, max_bits=3)
