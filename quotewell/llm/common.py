@@ -25,8 +25,27 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIR[app]
 
 
+_MADE: list[str] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/quotewell-{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder. Results are lazy, so tables stay until drop_tables()."""
+    path = f"{shared_dir(spark)}/quotewell-{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete what this process has written to the shared folder, once its results have been read. Returns how many paths."""
+    n = len(_MADE)
+    while _MADE:
+        _delete(spark, _MADE.pop())
+    return n
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -40,8 +59,7 @@ def discard(*tables: DataFrame) -> None:
     """Delete tables made by materialise() once nothing reads them any more."""
     for t in tables:
         for f in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
-            path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(t.sparkSession, f)
 
 
 def text_or_empty(text: str = "text") -> Column:
