@@ -1,7 +1,8 @@
 """Connected components by alternating stars, with aggregates and joins only.
 
 No node's neighbours are ever gathered: a round takes each node's least neighbour by a (map-side combined) minimum and joins it
-back. Hubs are one key with many rows, which the adaptive skew join splits. Rounds are written to the shared folder.
+back. Hubs are one key with many rows; minima are written before they are joined, so that the adaptive join can split such keys. Rounds are written to
+the shared folder.
 """
 
 from __future__ import annotations
@@ -22,14 +23,14 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         # large star: every larger neighbour moves to the least of the neighbourhood
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: a node and its smaller neighbours move to the least of them
         large = materialise(large.where("u <> v").distinct(), "large-star")
-        lower = large.groupBy("u").agg(F.min("v").alias("m"))
+        lower = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "lower")
         small = large.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         after = materialise(small.unionByName(lower.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        discard(edges, large)
+        discard(edges, large, least, lower)
         edges = after
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
