@@ -6,6 +6,8 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotewell.operators import between, checks, compare, explore, feed_views, snapshot, vendor_views  # noqa: F401  registers the views
 from quotewell.plans.warehouse import VIEWS, Warehouse
@@ -26,7 +28,12 @@ def trial(spark: SparkSession, sf_dir: str) -> Warehouse:
     return w
 
 
+def flat(df: DataFrame) -> DataFrame:
+    """Lists as text, so that results compare by plain values; the views themselves keep their lists."""
+    return df.select(*(F.array_join(f.name, "|").alias(f.name) if isinstance(f.dataType, T.ArrayType) else f.name for f in df.schema))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     views = {name: lambda w, name=name: getattr(w, name) for name in VIEWS}
     own = views | compare.QUERIES | snapshot.QUERIES | explore.QUERIES | RANGES | checks.QUERIES
-    return {name: lambda spark, sf_dir, f=f: f(trial(spark, sf_dir)) for name, f in own.items()}
+    return {name: lambda spark, sf_dir, f=f: flat(f(trial(spark, sf_dir))) for name, f in own.items()}
