@@ -291,7 +291,7 @@ def cmp_total_return_gap(w: Warehouse) -> DataFrame:
 
 @query
 def cmp_total_return_gap_recent(w: Warehouse) -> DataFrame:
-    rows = w.returns.where(listed() & (c("date") >= F.lit("2000-01-01").cast("date")) & c("r_up").isNotNull() & (c("r_vendor") > -1) & (c("r_up") > -1))
+    rows = w.returns.where(listed() & (c("date") >= F.lit("1997-01-01").cast("date")) & c("r_up").isNotNull() & (c("r_vendor") > -1) & (c("r_up") > -1))
     each = _long_enough(rows, gap=("r_vendor", "r_up"))
     return each.agg(F.count("*").alias("securities"), number_of(c("gap") <= 0.01, "within_1pct"), number_of((c("gap") > 0.01) & (c("gap") <= 0.10), "gap_1_to_10pct"), number_of(c("gap") > 0.10, "gap_over_10pct"), pct(F.median("gap"), 4).alias("median_gap_pct"))
 

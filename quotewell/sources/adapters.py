@@ -33,7 +33,7 @@ BASE: dict[str, str] = {
         SELECT date, stock_id, bottom AS open, top AS high, bottom AS low, CASE WHEN tax = 0 THEN CAST(0 AS DOUBLE) ELSE px END AS close, top - bottom AS spread,
                CAST(units * 1000 AS BIGINT) AS volume, CAST(floor(paid) AS BIGINT) AS turnover_value, n AS transactions,
                CASE WHEN k % 7 = 0 THEN 'market' ELSE 'ticker' END AS source, stamp AS ingested_at, year, month
-        FROM quoted WHERE (k + day_no) % 13 <> 0""",
+        FROM quoted WHERE (k + day_no) % 13 <> 0 AND day_no % 101 <> 0""",
     # adjusted bars: the discount plays the adjustment
     "feed_adj_bars": """
         SELECT date, stock_id, bottom * (1 - cut) AS open, top * (1 - cut) AS high, bottom * (1 - cut) AS low, px * (1 - cut) AS close, top - bottom AS spread,
