@@ -1,7 +1,7 @@
 """URL filters: rules on hosts and paths, else naive Bayes over segmented host and path words.
 
 A host's labels are concatenated words; a unigram model splits them by the Viterbi algorithm. The unigram counts cover the words of all
-pages (html and url paths); the model keeps the MAX_VOCABULARY commonest. A multinomial naive Bayes over hashed tokens is trained on all
+pages (html and url paths); the model keeps at most MAX_VOCABULARY, the commonest. A multinomial naive Bayes over hashed tokens is trained on all
 urls under weak labels: a url is bad if a segmented host word is in the lexicon. What reaches the driver is bounded by MAX_VOCABULARY and
 BUCKETS. Rules come first: the longest rule that fits decides.
 
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import load, to_python
+from .common import discard, load, materialise, to_python
 
 
 class UrlRule(NamedTuple):
@@ -121,11 +121,21 @@ def buckets(host_words: list[str], path_words: list[str]) -> list[int]:
 
 
 def unigrams(pages: DataFrame, *, url_col: str, html_col: str) -> dict[str, int]:
-    """The MAX_VOCABULARY commonest words of all pages, the lexicon included."""
+    """The commonest words of all pages, at most MAX_VOCABULARY, and the lexicon.
+
+    Words of about equal counts are taken or left together: the size classes (eight to a doubling) are counted first, and only words of the
+    classes that fit come to the driver.
+    """
     text = F.concat_ws(" ", F.regexp_replace(F.coalesce(F.col(html_col).cast("string"), F.lit("")), r"<[^>]*>", " "), F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"://[^/?#]*([^?#]*)", 1))
     words = pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(f"[a-z]{{1,{MAX_WORD}}}"), F.lit(0))).alias("w"))
-    top = words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(MAX_VOCABULARY).collect()
-    counts = {r.w: r.n for r in top}
+    counted = materialise(words.groupBy("w").agg(F.count("*").alias("n")).withColumn("size", F.floor(F.log2("n") * 8).cast("int")), "words")
+    room, least_size = MAX_VOCABULARY, 1 << 20
+    for r in counted.groupBy("size").count().orderBy(F.desc("size")).collect():
+        if r["count"] > room:
+            break
+        room, least_size = room - r["count"], r["size"]
+    counts = {r.w: r.n for r in counted.where(F.col("size") >= least_size).select("w", "n").collect()}
+    discard(counted)
     least = max(1, min(counts.values(), default=1))
     return counts | {w: max(counts.get(w, 0), 100 * least) for w in LEXICON}
 
