@@ -320,8 +320,9 @@ def near_duplicates(docs: DataFrame, *, shingle: int, max_bits: int, second_bits
     nodes = materialise(rows.groupBy("mine", "fp", "fp2").agg(F.min("id").alias("low")), "nodes")
     roots = components(near_links(nodes, max_bits=max_bits, second_bits=second_bits))
     rooted = nodes.join(roots, nodes.mine == roots.node, "left").select("mine", "low", F.coalesce("root", "mine").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = materialise(rooted.join(lowest, "root").select("mine", "component_id"), "named")  # written, so that the next join may split a common fingerprint
+    # what a join needs is written first, so that it may split the rows of a large component or a common fingerprint
+    lowest = materialise(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "lowest")
+    named = materialise(rooted.join(lowest, "root").select("mine", "component_id"), "named")
     return rows.join(named, "mine").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
