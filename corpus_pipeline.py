@@ -8,12 +8,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotewell.llm import bpe, exact_dedup, mixing, quality, simhash
-from quotewell.llm.common import fresh_path, load
+from quotewell.llm import bpe, exact_dedup, jaccard, mixing, quality
+from quotewell.llm.common import fresh_path, load, materialise, row_key, text_or_empty
 
-#: Near copies share word shingles of five. A Jaccard similarity of 0.8 and more mostly stays within 10 of 64 bits; strangers sometimes do, too,
-#: but not within 16 bits of a second fingerprint as well.
-NEAR_SHINGLE, NEAR_BITS, NEAR_SECOND_BITS = 5, 10, 16
+#: Near copies share word shingles of five: those within 10 of 64 bits and 16 of a second fingerprint's, as strangers hardly ever are, and all with
+#: a Jaccard similarity of NEAR_LEAST or more, however far their fingerprints are apart.
+NEAR_SHINGLE, NEAR_BITS, NEAR_SECOND_BITS, NEAR_LEAST = 5, 10, 16, 0.8
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +28,11 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the smallest doc_id stays. Rows without an id stay."""
-    found = simhash.near_duplicates(docs, shingle=NEAR_SHINGLE, max_bits=NEAR_BITS, second_bits=NEAR_SECOND_BITS)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    key = row_key(F.col("doc_id"), text_or_empty())
+    groups = jaccard.near_groups(docs, shingle=NEAR_SHINGLE, max_bits=NEAR_BITS, second_bits=NEAR_SECOND_BITS, least=NEAR_LEAST)
+    named = materialise(docs.select("doc_id", key.alias("key")).distinct().join(groups.distinct(), "key"), "groups")
+    lowest = materialise(named.groupBy("component").agg(F.min("doc_id").alias("low")), "lowest")
+    gone = named.join(lowest, "component").where("doc_id <> low").select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone, docs.doc_id == gone.gone_id, "left_anti")
 
 

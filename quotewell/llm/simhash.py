@@ -20,7 +20,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 from math import comb
 
@@ -49,19 +49,30 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return fingerprint_pair(text, shingle, False)[0]
 
 
-def fingerprint_pair(text: bytes, shingle: int, second: bool) -> tuple[int, int]:
-    """The fingerprint and, if asked for, a second one, of the mixed hashes. Words are what bytes.split() gives: runs of other than [\\x20\\x09-\\x0D]; bytes.lower() changes A-Z alone."""
+def shingle_hashes(text: bytes, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 of every word shingle in order, repeats included. Words are what bytes.split() gives: runs of other than [\\x20\\x09-\\x0D]; bytes.lower() changes A-Z alone."""
     words = text.lower().split()
     if not words:
-        return 0, 0
+        return
     n = max(1, len(words) - shingle + 1)
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = (ends - np.diff(ends, prepend=0))[:n].tolist()
     stops = (ends - 1)[-n:].tolist()
-    ones = np.zeros((2, BITS), np.int64)
     for at in range(0, n, AT_ONCE):
-        h = np.fromiter((xxh64_intdigest(line[a:b], SEED) for a, b in zip(starts[at : at + AT_ONCE], stops[at : at + AT_ONCE], strict=True)), ">u8")
+        yield np.fromiter((xxh64_intdigest(line[a:b], SEED) for a, b in zip(starts[at : at + AT_ONCE], stops[at : at + AT_ONCE], strict=True)), ">u8")
+
+
+def fingerprint_pair(text: bytes, shingle: int, second: bool) -> tuple[int, int]:
+    """The fingerprint and, if asked for, a second one, of the mixed hashes."""
+    return pair_of(shingle_hashes(text, shingle), second)
+
+
+def pair_of(hashes: Iterable[np.ndarray], second: bool) -> tuple[int, int]:
+    """fingerprint_pair() of what shingle_hashes() gives."""
+    n, ones = 0, np.zeros((2, BITS), np.int64)
+    for h in hashes:
+        n += len(h)
         ones[0] += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
         if second:
             m = h.astype(np.uint64)
