@@ -1,7 +1,7 @@
 """License scans with a positional index of rare licence words.
 
 The index has, for every word of the templates, its postings (template, position). A word's rarity is its IDF over all documents. For
-each file the highest-IDF licence words that it has are looked up; every posting votes for a relative position (place in the file minus
+each file and template the highest-IDF words of the template that the file has are looked up, so that no notice takes another's place; every posting votes for a relative position (place in the file minus
 place in the template), and where votes agree the template is laid over the file there: the share of its words that fit
 within a small shift is its score. A template counts if the score reaches MIN_SCORE and its mandatory key phrases stand in the file around
 that place. Only the index (the templates' words) and their IDF are sent to tasks; both are bounded by the templates.
@@ -84,6 +84,7 @@ class LicenseIndex:
         self.words = [words_of(t.text.encode()) for t in templates]
         self.keys = [[_spread(words_of(p.encode())) for p in t.key_phrases] for t in templates]
         self.idf = idf
+        self.ranked = [sorted(set(ws), key=lambda w: (-idf.get(w, 0.0), w)) for ws in self.words]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for t, ws in enumerate(self.words):
             for at, w in enumerate(ws):
@@ -92,16 +93,14 @@ class LicenseIndex:
     def match(self, words: list[bytes]) -> dict[int, float]:
         """The best score of each template that has its key phrases."""
         have = set(words) & self.postings.keys()
-        rare = set(sorted(have, key=lambda w: (-self.idf.get(w, 0.0), w))[:RARE_WORDS])
-        if not rare:
-            return {}
+        rare = [set([w for w in ranked if w in have][:RARE_WORDS]) for ranked in self.ranked]
+        asked: dict[bytes, list[tuple[int, int]]] = {w: [(t, place) for t, place in self.postings[w] if w in rare[t]] for w in have}
         votes: Counter[tuple[int, int]] = Counter()
         for at, w in enumerate(words):
-            if w in rare:
-                for t, place in self.postings[w]:
-                    votes[t, at - place] += 1
+            for t, place in asked.get(w, ()):
+                votes[t, at - place] += 1
         best: dict[int, float] = {}
-        need = {t: max(2, math.ceil(MIN_SCORE / 2 * len({w for w in ws if w in rare}))) for t, ws in enumerate(self.words)}
+        need = {t: max(2, math.ceil(MIN_SCORE / 2 * len(own))) for t, own in enumerate(rare)}
         for (t, start), n in votes.items():
             if n >= need[t] and (score := self._laid(words, t, start)) >= MIN_SCORE and score > best.get(t, 0.0):
                 near = _spread(words[max(0, start - SHIFT) : max(0, start) + len(self.words[t]) + SHIFT])

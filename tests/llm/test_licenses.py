@@ -1,4 +1,5 @@
 import re
+from itertools import combinations
 
 import pytest
 
@@ -54,6 +55,13 @@ def test_rare_words_come_first():
     assert all(index.labels[t] == label and s == 1.0 for label, text in [(t.label, t.text) for t in li.TEMPLATES[9:11]] for t, s in index.match(li.words_of(text.encode())).items())
 
 
+def test_each_notice_of_a_file_is_found():
+    index = li.LicenseIndex(li.TEMPLATES, {})
+    for chosen in combinations(range(len(li.TEMPLATES)), 4):
+        text = " and so on ".join(li.TEMPLATES[t].text for t in chosen)
+        assert set(chosen) <= index.match(li.words_of(text.encode())).keys(), chosen
+
+
 def test_frequencies_and_empty(documents):
     total, counts = li.document_frequency(documents([(1, "mit MIT"), (2, "mit"), (3, None)]), {b"mit", b"gnu"})
     assert (total, counts) == (3, {b"mit": 2})
