@@ -27,13 +27,17 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the smallest doc_id stays. Rows without an id stay."""
+    """Of each group of near copies one row stays: that of the smallest doc_id, null ids last. Ties go to the lesser digest; of rows equal in id and text one stays."""
     key = row_key(F.col("doc_id"), text_or_empty())
     groups = jaccard.near_groups(docs, shingle=NEAR_SHINGLE, max_bits=NEAR_BITS, second_bits=NEAR_SECOND_BITS, least=NEAR_LEAST)
-    named = materialise(docs.select("doc_id", key.alias("key")).distinct().join(groups.distinct(), "key"), "groups")
-    lowest = materialise(named.groupBy("component").agg(F.min("doc_id").alias("low")), "lowest")
-    gone = named.join(lowest, "component").where("doc_id <> low").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs.doc_id == gone.gone_id, "left_anti")
+    grouped = materialise(groups.groupBy("key", "component").agg(F.count("*").alias("near_n")), "groups")
+    named = docs.select("doc_id", key.alias("key")).distinct().join(grouped, "key")
+    lowest = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "near_n")).alias("low"))
+    kept = materialise(lowest.select(F.col("low.key").alias("near_key"), "low.near_n"), "kept")
+    rows = docs.join(kept, key == kept.near_key)
+    if kept.where("near_n > 1").isEmpty():
+        return rows.select(docs.columns)
+    return rows.where("near_n = 1").unionByName(rows.where("near_n > 1").dropDuplicates(["near_key"])).select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,3 +65,11 @@ def test_bands_miss_nothing_of_the_range():
             b = np.concatenate([a[n // 9 :], rnd.integers(0, 1 << 63, n // 9, np.uint64)])
             assert (jaccard.bands_of(np.unique(a)) == jaccard.bands_of(np.unique(b))).any()
     assert len(jaccard.shingle_set(b"", 5)) == 0 and len(jaccard.shingle_set(b"a b", 5)) == 1
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(documents):
+    rnd = random.Random(9)
+    one, two, three = (" ".join(f"{x}{rnd.randrange(5000)}" for _ in range(90)) for x in "abc")
+    rows = [(1, one), (2, one + " more"), (2, two), (7, three), (7, three + " more"), (7, three), (None, two + " more"), (None, "x y z " * 9), (None, "x y z " * 9), (8, "alone")]
+    got = cp.near_copies(None, documents(rows), "").collect()
+    assert sorted(((r.doc_id, r.text[:1]) for r in got), key=repr) == sorted([(1, "a"), (2, "b"), (7, "c"), (None, "x"), (8, "a")], key=repr)
