@@ -52,7 +52,7 @@ RULES = (
 #: Host words that mark a url as bad in training.
 LEXICON = ("ads", "adult", "bet", "bets", "casino", "escort", "loan", "malware", "payday", "phish", "pills", "poker", "porn", "sex", "spam", "track", "tracker", "viagra", "warez", "xxx")
 
-MAX_WORD, MAX_RUN, BUCKETS, ALPHA = 64, 512, 1 << 16, 0.01
+MAX_WORD, MAX_RUN, BUCKETS, ALPHA = 64, 256, 1 << 16, 0.01
 #: What the model counts a lexicon word at least, so that hosts are split at it.
 LEXICON_COUNT = 100
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -152,9 +152,9 @@ def segmented(runs: DataFrame, words: DataFrame) -> DataFrame:
     """runs (run: distinct) and words (w, n) -> run, words: the likeliest split of each run."""
     total = words.agg(F.sum("n")).first()[0] or 0
     substrings = lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), F.length("run") - i + 1)), lambda k: F.substring("run", i, k))
-    asked = runs.select("run", F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length("run")), substrings)))).alias("w"))
+    asked = runs.select("run", F.explode(F.flatten(F.transform(F.sequence(F.lit(1), F.length("run")), substrings))).alias("w"))
     # a row for each run and each word that it may hold
-    known = asked.join(words, "w").groupBy("run").agg(F.collect_list(F.struct("w", "n")).alias("known"))
+    known = asked.join(words, "w").groupBy("run").agg(F.collect_set(F.struct("w", "n")).alias("known"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(total)
