@@ -15,7 +15,13 @@ A Burrows-Wheeler transform of the whole corpus fits no task. So texts are cut w
 
 Marks are joined back to the texts. Nothing is broadcast or collected but one count of anchors.
 
+A passage of many short words may have fewer than `length` bytes. It is not removed, but told: n_shared counts a document's shingles of
+PASSAGE_SHINGLE words that another document has, too, of those that are least by hash among PASSAGE_WINDOW neighbours. Every passage of
+PASSAGE_SHINGLE + PASSAGE_WINDOW - 1 = 51 words that two documents have gives both one such shingle at least; shorter ones of
+PASSAGE_SHINGLE words may. Such a shingle is a row of 16 bytes for each of its documents, read in one pass and never gathered.
+
 Cases: a null text counts as empty. Texts shorter than length are never removed, nor are matches across documents or at the same place.
+Texts of any length are read whole; a very long one is hashed in stretches that overlap.
 Rows equal in id and text repeat each other. Overlapping repeats of one text count (runs of a letter go). Empty tables give
 empty results; other columns are ignored.
 """
@@ -28,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_intdigest
+from xxhash import xxh3_64_intdigest, xxh3_128_intdigest
 
 from .bwt import long_prefixes
 from .common import load, materialise, text_or_empty, to_python
@@ -39,6 +45,10 @@ STRETCH = 1 << 18
 #: Bytes of contexts in a bin, about.
 BIN_BYTES = 1_500_000
 HOT_CONTEXTS = 2_000
+#: Words; any 51 in a row are PASSAGE_WINDOW shingles, of which the least is told.
+PASSAGE_SHINGLE, PASSAGE_WINDOW = 26, 26
+#: Distinct words that a task remembers between documents, a cache.
+REMEMBERED = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -193,18 +203,78 @@ def _windows(length: int):
     return run
 
 
+def least_shingles(hashes: np.ndarray, shingle: int, window: int) -> np.ndarray:
+    """Of a text's word hashes: the hashes of shingles that are least among `window` neighbours, once each."""
+    if len(hashes) < shingle + window - 1:
+        return np.zeros(0, np.uint64)
+    up, down = _powers(len(hashes) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[: len(hashes)], dtype=np.uint64)])
+    h = (sums[shingle:] - sums[:-shingle]) * down[: len(sums) - shingle]
+    h = (h ^ (h >> np.uint64(32))) * _MIX
+    return np.unique(_window_min(h ^ (h >> np.uint64(29)), window))
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """h, d1: the told shingles of every text."""
+    known: dict[bytes, int] = {}
+    for batch in batches:
+        found, owner, d1 = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], batch["d1"].to_numpy()
+        for i, text in _texts(batch):
+            words = text.split()
+            if len(known) > REMEMBERED:
+                known = {}
+            for w in set(words).difference(known):
+                known[w] = xxh3_64_intdigest(w)
+            found.append(least_shingles(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), PASSAGE_SHINGLE, PASSAGE_WINDOW))
+            owner.append(np.full(len(found[-1]), d1[i]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(owner))], ["h", "d1"])
+
+
+def _shared_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by h and d1: d1 of those whose h another document has, too. Nothing of a hash is kept but its first document."""
+    last_h = last_d = None
+    told = False  # of the last row
+    for batch in batches:
+        h, d1 = batch["h"].to_numpy(), batch["d1"].to_numpy()
+        if not len(h):
+            continue
+        before_h, before_d = np.concatenate([h[:1], h[:-1]]), np.concatenate([d1[:1], d1[:-1]])
+        if last_h is not None:
+            before_h[0], before_d[0] = last_h, last_d
+        same = before_h == h
+        if last_h is None:
+            same[0] = False
+        differs = same & (before_d != d1)
+        group = np.cumsum(~same)
+        mixed = np.zeros(group[-1] + 1, bool)  # group 0 goes on from the batch before
+        mixed[0] = told
+        mixed[group[differs]] = True
+        out = d1[mixed[group] & ~(same & ~differs)]  # a row that repeats the one before it is told already
+        if same[0] and mixed[group[0]] and not told:  # the first documents, in a batch before, are all one
+            out = np.append(out, last_d)
+        last_h, last_d, told = h[-1], d1[-1], bool(mixed[group[-1]])
+        yield pa.RecordBatch.from_arrays([pa.array(out)], ["d1"])
+
+
+def shared_shingles(rows: DataFrame) -> DataFrame:
+    """rows (d1, text) -> d1, n_shared, for documents that have any. Rows with one d1 are one document."""
+    told = rows.select("d1", "text").mapInArrow(_shingle_rows, "h long, d1 long")
+    met = told.repartition("h").sortWithinPartitions("h", "d1").mapInArrow(_shared_shingles, "d1 long")
+    return met.groupBy("d1").agg(F.count("*").alias("n_shared"))
+
+
 def _cut() -> Callable:
     """Rows with text and runs -> spans and what is left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, kept = [], []
+            spans, kept, d2 = [], [], batch["d2"].to_pylist()
             for i, text in _texts(batch):
-                spans.append(merged([(r["start"], r["stop"]) for r in batch["runs"][i].as_py() or ()]))
+                spans.append(merged([(r["start"], r["stop"]) for r in batch["runs"][i].as_py() or () if r["d2"] == d2[i]]))
                 kept.append(without(text, spans[-1]))
             kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
             told = pa.array([[{"start": a, "stop": b} for a, b in s] for s in spans], kind)
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array([x.as_buffer().size for x in batch["text"]], pa.int64()), told, pa.array(kept, pa.binary())], ["id", "n_bytes", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array([x.as_buffer().size for x in batch["text"]], pa.int64()), told, pa.array(kept, pa.binary()), batch["n_shared"]], ["id", "n_bytes", "spans", "kept", "n_shared"])
 
     return run
 
@@ -226,7 +296,7 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def substring_dedup(docs: DataFrame, *, length: int = LENGTH, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_bytes, spans (start, stop of the removed runs, in bytes), kept (binary: the remaining bytes)."""
+    """One row per input row: id, n_bytes, spans (start, stop of the removed runs, in bytes), kept (binary: the remaining bytes), n_shared."""
     if not 2 * k <= length < STRETCH:
         raise ValueError("length must be at least 2 k, and less than STRETCH")
     text = text_or_empty(text_col)
@@ -257,14 +327,17 @@ def substring_dedup(docs: DataFrame, *, length: int = LENGTH, k: int = K, id_col
     twice = windows.groupBy("w1", "w2").agg(F.min(start).alias("a"), F.max(start).alias("b")).where("a <> b").select("w1", "w2")
     hot_runs = windows.join(twice, ["w1", "w2"]).select("d1", "d2", "start", (F.col("start") + length).cast("int").alias("stop"))
     whole = marks.where("whole").select("d1", "d2", F.col("lo").alias("start"), F.col("hi").alias("stop"))
-    verdicts = runs.unionByName(hot_runs).unionByName(whole).groupBy("d1", "d2").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
+    runs = runs.unionByName(hot_runs).unionByName(whole).groupBy("d1").agg(F.collect_set(F.struct("d2", "start", "stop")).alias("runs"))
+    passages = shared_shingles(rows)
+    verdicts = runs.join(passages, "d1", "full")
     kind = docs.schema[id_col].dataType.simpleString()
-    cut = rows.join(verdicts, ["d1", "d2"], "left").select("id", "text", "runs").mapInArrow(_cut(), f"id {kind}, n_bytes long, spans array<struct<start:int,stop:int>>, kept binary")
+    cut = rows.join(verdicts, "d1", "left").select("id", "d2", "text", "runs", F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared"))
+    cut = cut.mapInArrow(_cut(), f"id {kind}, n_bytes long, spans array<struct<start:int,stop:int>>, kept binary, n_shared long")
     return cut.withColumnRenamed("id", id_col)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every whole text of documents without the bytes of 400-byte strings that start elsewhere, too."""
+    """Every whole text of documents without the bytes of 400-byte strings that start elsewhere, too; n_shared tells passages of over 50 words, however few bytes they have."""
     out = substring_dedup(load(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s.stop - s.start))
-    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "n_shared", (F.col("n_shared") > 0).alias("has_passage"))

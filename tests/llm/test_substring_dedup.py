@@ -86,6 +86,42 @@ def test_prefixes_against_brute_force():
                 assert bool(ends[i]) == (x != y)
 
 
+def spans_text(rnd, n, letters="abcdefghij", size=5):
+    return " ".join("".join(rnd.choices(letters, k=rnd.randint(1, size))) for _ in range(n))
+
+
+@pytest.mark.parametrize("batch", [10_000, 7])
+def test_passages_of_over_50_words_are_told(spark, documents, batch):
+    """51 words of another document, in fewer than 400 bytes; copies; 25 words don't count; rows equal in id and text are one document."""
+    rnd = random.Random(11)
+    own = [spans_text(rnd, rnd.randint(60, 200)) for _ in range(60)]
+    passage, short = spans_text(rnd, 51), spans_text(rnd, 25)
+    assert len(passage) < 400
+    rows = [(k, t) for k, t in enumerate(own)]
+    rows += [(100 + k, f"{spans_text(rnd, 7 * k)} {passage}\n {spans_text(rnd, 30)}") for k in range(6)]
+    rows += [(200 + k, f"{spans_text(rnd, 40)} {short} {spans_text(rnd, 40)}") for k in range(3)]
+    rows += [(300, own[0]), (301, own[1]), (400, spans_text(rnd, 80)), (500, None), (501, "")]
+    rows += [rows[-3]] * 2
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    got = {r.doc_id: r.n_shared for r in s.substring_dedup(documents(rows)).collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    told = {k for k, n in got.items() if n}
+    assert told == {0, 1, 300, 301, *range(100, 106)}
+    hashes = lambda t: np.array([s.xxh3_64_intdigest(w) for w in t.encode().split()], np.uint64)
+    assert got[0] == got[300] == len(s.least_shingles(hashes(own[0]), s.PASSAGE_SHINGLE, s.PASSAGE_WINDOW))
+
+
+def test_very_long_texts(documents):
+    """Texts of several stretches: the second repeats the middle of the first, across a stretch's border."""
+    rnd = random.Random(5)
+    long = "".join(rnd.choices("abcdefgh ", k=3 * s.STRETCH // 2))
+    part = long[s.STRETCH - 3000 : s.STRETCH + 3000]
+    rows = [(1, long), (2, "x" + part + "y"), (3, long[:399]), (4, "z" * (s.STRETCH + 1000))]
+    got = {r[0]: r for r in rows_of(s.substring_dedup(documents(rows)))}
+    assert got[1][2] == [(s.STRETCH - 3000, s.STRETCH + 3000)] and got[2][2] == [(1, 6001)] and got[3][2] == []
+    assert got[4][2] == [(0, s.STRETCH + 1000)] and got[1][3].decode() == long[: s.STRETCH - 3000] + long[s.STRETCH + 3000 :]
+
+
 def test_empty(documents):
     assert s.substring_dedup(documents([])).count() == 0
     with pytest.raises(ValueError):
