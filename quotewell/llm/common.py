@@ -14,23 +14,34 @@ _OWN_DIR: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where the setting is absent (single-machine tests) a temporary folder is made.
+    Only where driver and executors are one process (a local master, as in tests) a temporary folder may take its place.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIR:
         _OWN_DIR[app] = tempfile.mkdtemp(prefix="quotewell-")
     return _OWN_DIR[app]
 
 
+#: Paths written so far; those that are gone are harmless.
 _MADE: list[str] = []
+_RUNS: set[str] = set()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder. Results are lazy, so tables stay until drop_tables()."""
-    path = f"{shared_dir(spark)}/quotewell-{label}-{uuid.uuid4().hex}"
+    """A new path in the session's run folder. Results are lazy, so tables stay until drop_tables(), or until the driver's JVM ends."""
+    run = f"{shared_dir(spark)}/quotewell-{spark.sparkContext.applicationId}"
+    if run not in _RUNS:
+        p = spark._jvm.org.apache.hadoop.fs.Path(run)
+        store = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(p)
+        store.deleteOnExit(p)
+        _RUNS.add(run)
+    path = f"{run}/{label}-{uuid.uuid4().hex}"
     _MADE.append(path)
     return path
 
@@ -40,12 +51,18 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def drop_tables(spark: SparkSession) -> int:
-    """Delete what this process has written to the shared folder, once its results have been read. Returns how many paths."""
-    n = len(_MADE)
-    while _MADE:
-        _delete(spark, _MADE.pop())
-    return n
+def made() -> int:
+    """How many paths have been written and not dropped: a mark for drop_tables()."""
+    return len(_MADE)
+
+
+def drop_tables(spark: SparkSession, since: int = 0, keep: str = "") -> int:
+    """Delete what this process has written to the shared folder since a mark, once its results have been read. Returns how many paths."""
+    gone = [x for x in _MADE[since:] if x != keep]
+    _MADE[since:] = [keep] if keep in _MADE[since:] else []
+    for path in gone:
+        _delete(spark, path)
+    return len(gone)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
