@@ -9,6 +9,8 @@ sum to max_bits - m + 1, two such fingerprints differ in at most t_i bits of som
   probes, from exact histograms of the parts' blocks. Parts whose value is common get low thresholds.
 * Every fingerprint is stored under its parts' values and probes all values within its thresholds. Candidates are compared in
   full, in numpy, and only a spanning forest of the links found in a task leaves it: never all pairs of a group.
+* A value that, by the histograms, more than HOT_VALUE fingerprints may share is cut into slices by a hash of the whole fingerprint: each is stored in
+  one slice and probes all, so that no task holds a common value's fingerprints together.
 
 With second_bits, each document has a second fingerprint of other hashes, and a link needs that one to be near as well: at a loose max_bits
 64 bits alone would link strangers in a large corpus. Equal fingerprints are one node from the start. What reaches the driver is bounded: 64 x 64 bit counts and the blocks' histograms.
@@ -42,6 +44,8 @@ PAIRS = 1 << 21
 #: A probe, which is made, shuffled and sorted, costs as much as comparing so many candidates in numpy.
 PROBE_COST = 64.0
 BLOCK_BITS = 16
+#: Fingerprints of one part value that a task compares with what probes them.
+HOT_VALUE = 20_000
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -190,6 +194,16 @@ class Plan:
                 within = [within[d] + (within[d - 1][v ^ (1 << b)] if d else 0) for d in range(self.max_bits + 1)]
             self.near.append([x.astype(np.float32) for x in within])
 
+    def slices(self, k: int, values: np.ndarray) -> np.ndarray:
+        """Into how many slices each value of part k is cut: its blocks' histograms bound how many fingerprints have it."""
+        most, at = np.full(len(values), np.inf), np.uint64(len(self.parts[k]))
+        for (owner, chosen), near in zip(self.blocks, self.near, strict=True):
+            if owner == k:  # blocks lie from the highest bits down
+                at -= np.uint64(len(chosen))
+                own = ((values >> at) & np.uint64((1 << len(chosen)) - 1)).astype(np.int64)
+                most = np.minimum(most, self.n * near[0][own].astype(np.float64))
+        return np.maximum(1, np.ceil(most / HOT_VALUE)).astype(np.int64)
+
     def thresholds(self, bits: np.ndarray) -> np.ndarray:
         """n x parts: the cheapest thresholds that sum to max_bits - parts + 1, each -1 or more."""
         m, n = len(self.parts), len(bits)
@@ -218,18 +232,27 @@ class Plan:
             out[:, k], s = e - 1, s - e
         return out
 
-    def signatures(self, fp: np.ndarray) -> Iterator[tuple[np.ndarray, bool, np.ndarray]]:
-        """(key, is a probe, which fingerprints): where each is stored, and what it probes."""
+    def signatures(self, fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool, np.ndarray]]:
+        """(key, slice, is a probe, which fingerprints, by place): where each is stored, and what it probes."""
         bits = _bits(fp)
         t = self.thresholds(bits)
+        every, mixed = np.arange(len(fp)), (fp ^ (fp >> np.uint64(31))) * _MIX
+        mixed ^= mixed >> np.uint64(32)
         for k, part in enumerate(self.parts):
             values = self.pick(bits, part)
             key = lambda v: (v << np.uint64(6)) | np.uint64(k) if len(self.parts) > 1 else v  # noqa: B023, E731
-            yield key(values), False, np.ones(len(fp), bool)
+            yield key(values), (mixed % self.slices(k, values).astype(np.uint64)).astype(np.int64), False, every
             for d in range(self.max_bits + 1):
-                if (own := t[:, k] >= d).any():
+                own = np.flatnonzero(t[:, k] >= d)
+                if len(own):
                     for mask in self.masks[k][d]:
-                        yield key(values[own] ^ mask), True, own
+                        probed = values[own] ^ mask
+                        cut = self.slices(k, probed)
+                        if cut.max() == 1:
+                            yield key(probed), np.zeros(len(own), np.int64), True, own
+                        else:
+                            again = np.repeat(np.arange(len(own)), cut)
+                            yield key(probed)[again], np.arange(len(again)) - np.repeat(np.cumsum(cut) - cut, cut), True, own[again]
 
 
 def _linked(max_bits: int, second_bits: int | None):
@@ -313,8 +336,10 @@ def near_links(nodes: DataFrame, *, max_bits: int, second_bits: int | None = Non
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp, fp2 = batch["fp"].to_numpy(), batch["fp2"].to_numpy()
-            for key, probe, own in plan.signatures(fp.view(np.uint64)):
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(key), probe)), pa.array(fp[own]), pa.array(fp2[own])], ["key", "probe", "fp", "fp2"])
+            for key, cut, probe, own in plan.signatures(fp.view(np.uint64)):
+                # one number for value and slice: two that meet by chance are compared in vain, at worst
+                named = key ^ (cut.astype(np.uint64) * _MIX)
+                yield pa.RecordBatch.from_arrays([pa.array(named.view(np.int64)), pa.array(np.full(len(key), probe)), pa.array(fp[own]), pa.array(fp2[own])], ["key", "probe", "fp", "fp2"])
 
     rows = nodes.select("fp", "fp2").mapInArrow(spread, "key long, probe boolean, fp long, fp2 long")
     found = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_linked(max_bits, second_bits), "a long, a2 long, b long, b2 long")

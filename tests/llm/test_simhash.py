@@ -68,6 +68,34 @@ def test_large_group_makes_few_links(spark, monkeypatch):
     assert out.count() < 16 * len(values) and components.components(out).select("root").distinct().count() == 1
 
 
+@pytest.mark.parametrize("most", [3, 5])
+def test_a_common_value_is_cut_into_slices(spark, monkeypatch, most):
+    """All fingerprints share 40 bits: without slices a part's value would be one key."""
+    monkeypatch.setattr(s, "HOT_VALUE", 10)
+    rnd = random.Random(4)
+    values = list({(rnd.getrandbits(12) << 12) ^ sum(1 << x for x in rnd.sample(range(64), rnd.randint(0, 2))) for _ in range(400)})
+    fp = np.array(values, np.uint64)
+    plan = s.Plan([list(range(16 * k, 16 * k + 16)) for k in range(4)], most)
+    plan.learn(plan.histogram(fp), len(fp))
+    stored = {}
+    for key, cut, probe, own in plan.signatures(fp):
+        if not probe:
+            for x in zip(key.tolist(), cut.tolist(), strict=True):
+                stored[x] = stored.get(x, 0) + 1
+            assert len(own) == len(fp)
+    keys = {}
+    for (key, _), n in stored.items():
+        keys[key] = keys.get(key, 0) + n
+    assert max(keys.values()) > 100 and max(stored.values()) <= 40
+    nodes = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v, 0) for v in values], "fp long, fp2 long").repartition(3)
+    roots = {r.node % (1 << 64): r.root for r in components.components(s.near_links(nodes, max_bits=most)).collect()}
+    want = clusters(values, most)
+    groups = {}
+    for v in values:
+        groups.setdefault(want[v], set()).add(roots.get(v, v))
+    assert all(len(g) == 1 for g in groups.values()) and len(set(want.values())) == len(set().union(*groups.values()))
+
+
 def test_thresholds_sum_and_find_everything():
     rnd = np.random.default_rng(1)
     fp = rnd.integers(0, 1 << 63, 500, np.uint64)
