@@ -5,6 +5,11 @@ token-position rows; a recursive query joins neighbours with the merge table and
 minimum rank, until no piece has a pair. Decoding: ids join the vocabulary, and an ordered aggregation puts the bytes
 together; invalid UTF-8 is possible, so bytes are returned.
 
+A piece of over LONG bytes is first cut where no token of the vocabulary stands across: no pair there can ever be contracted, so the parts are encoded by
+themselves. Parts that are still long contract all non-overlapping pairs of the minimum rank in one step, from the left up to the first whose
+contraction makes a pair of lower rank with what then stands beside it: up to there the minimum stays, so this is the same order. Steps then
+mostly follow the distinct ranks, not the length, and a step keeps one row a piece.
+
 The vocabulary (ranks as in tiktoken's files) is a parameter, read by the driver and sent to tasks: its size is that of the file.
 A partition remembers about REMEMBERED pieces, a cache that is emptied when full; memory does not grow with the partition.
 
@@ -18,6 +23,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import duckdb
 import numpy as np
@@ -34,9 +40,14 @@ DOCS_AT_ONCE = 800
 #: Characters of pieces that one recursive query takes at most, unless a single piece is longer.
 QUERY_CHARS = 1_000_000
 
+#: Bytes of a piece beyond which a step contracts every pair of the minimum rank.
+LONG = 256
+
 #: Rust's and Unicode's white space; Python's \s has four separators more.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: A single blank between two solid characters always starts a piece: what stands before it is split by itself.
+#: Fixed value: the pattern of which it is known that a single blank between two solid characters always starts a piece.
+AT_BLANKS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: So what stands before such a blank is split by itself. Texts of other patterns are split whole.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Tokens that one decoding query takes at most, unless a single text has more.
 QUERY_TOKENS = 400_000
@@ -61,6 +72,34 @@ WITH RECURSIVE steps(w, ids, open) AS (
 SELECT w, ids FROM steps WHERE NOT open
 """
 
+#: The same (1073741823 stands beyond either end) with all pairs of the minimum rank up to the first that makes a lower one; of a run of overlapping ones every other.
+ENCODE_LONG = """
+WITH RECURSIVE steps(w, ids, open) USING KEY (w) AS (
+    SELECT w, ids, true FROM pieces
+    UNION
+    (WITH line AS (
+        SELECT w, unnest(ids) AS a, unnest(ids[2:] || [1073741823]) AS b, unnest([1073741823] || ids[:-2]) AS prior, unnest(ids[3:] || [1073741823, 1073741823]) AS after, generate_subscripts(ids, 1) AS place
+        FROM steps WHERE open),
+    pairs AS (SELECT w, place, merged, prior, after FROM line JOIN merges ON pair = (a::BIGINT << 32 | b)),
+    best AS (SELECT w, min(merged) AS merged FROM pairs GROUP BY w),
+    hits AS (SELECT *, place - row_number() OVER (PARTITION BY w ORDER BY place) AS run FROM pairs SEMI JOIN best USING (w, merged)),
+    picked AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY w, run ORDER BY place) % 2 = 1),
+    beside AS (
+        SELECT w, place, merged, merged << 32 | after AS then_pair,
+            (CASE WHEN lag(place) OVER (PARTITION BY w ORDER BY place) = place - 2 THEN merged ELSE prior END) << 32 | merged AS prior_pair FROM picked),
+    lower AS (
+        SELECT w, min(place) AS place FROM beside WHERE EXISTS (FROM merges m WHERE m.pair = prior_pair AND m.merged < beside.merged)
+            OR EXISTS (FROM merges m WHERE m.pair = then_pair AND m.merged < beside.merged) GROUP BY w),
+    done AS (SELECT beside.w, beside.place, merged FROM beside LEFT JOIN lower ON lower.w = beside.w WHERE lower.place IS NULL OR beside.place <= lower.place),
+    fresh AS (
+        SELECT line.w, list(coalesce(here.merged, a)::INTEGER ORDER BY line.place) AS ids
+        FROM line LEFT JOIN done here ON here.w = line.w AND here.place = line.place LEFT JOIN done gone ON gone.w = line.w AND gone.place + 1 = line.place
+        WHERE gone.place IS NULL GROUP BY line.w)
+    SELECT steps.w, fresh.ids, best.w IS NOT NULL
+    FROM steps JOIN fresh ON fresh.w = steps.w LEFT JOIN best ON best.w = steps.w WHERE open))
+SELECT w, ids FROM steps
+"""
+
 DECODE = """
 SELECT doc, string_agg(v.chars, '' ORDER BY t.pos) AS chars
 FROM tokens t JOIN vocabulary v ON v.id = t.id GROUP BY doc
@@ -84,12 +123,14 @@ class Codec:
             raise ValueError(f"the vocabulary lacks the bytes {missing[:5]}")
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         splits = [(ranks[t[:k]] << 32 | ranks[t[k:]], r) for t, r in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
+        self.ranks, self.starts = ranks, {t[:k] for t in ranks for k in range(1, len(t) + 1)}
         # Latin-1 characters stand for bytes: DuckDB aggregates strings, not blobs
         self._keep("merges", {"pair": pa.array([x for x, _ in splits], pa.int64()), "merged": pa.array([x for _, x in splits], pa.int64())})
         self._keep("vocabulary", {"id": pa.array(ranks.values(), pa.int32()), "chars": pa.array([t.decode("latin-1") for t in ranks])})
         self.is_id = np.zeros(max(ranks.values()) + 1, bool)
         self.is_id[list(ranks.values())] = True
         self.bytes_of = {r: t for t, r in ranks.items()}
+        self.at_blanks = pattern == AT_BLANKS
         self.pattern = regex.compile(pattern.replace(r"[^\s\p{L}", rf"[^{WHITE}\p{{L}}").replace(r"(?!\S)", rf"(?![^{WHITE}])").replace(r"\s+", rf"[{WHITE}]+"))
         #: Ids, four bytes each, of what a blank precedes (without the blank: whole chunks and single pieces alike), and of other pieces.
         self.led: dict[str, bytes] = {}
@@ -107,7 +148,7 @@ class Codec:
         if len(self.bare) > REMEMBERED // 4:
             self.bare = {}
         led, bare, split = self.led, self.bare, self.pattern.findall
-        cut = [t.split(" ") if _plain(t) else _CUT.split(t) for t in texts]
+        cut = [t.split(" ") if _plain(t) else _CUT.split(t) for t in texts] if self.at_blanks else [[t] for t in texts]
         tails = [chunks[1:] for chunks in cut]
         fresh = set().union(*tails).difference(led)
         # letters only: one piece
@@ -129,14 +170,36 @@ class Codec:
             size += len(p) + 1
             if size >= QUERY_CHARS or k + 1 == len(pieces):
                 todo = pieces[first : k + 1]
-                into.update(zip(todo, self._query([(before + x).encode() for x in todo]), strict=True))
+                parts = [self._parts((before + x).encode()) for x in todo]
+                flat = [x for own in parts for x in own]
+                got: list[bytes] = [b""] * len(flat)
+                for how, some in ((ENCODE, [i for i, x in enumerate(flat) if len(x) <= LONG]), (ENCODE_LONG, [i for i, x in enumerate(flat) if len(x) > LONG])):
+                    for i, ids in zip(some, self._query([flat[i] for i in some], how) if some else (), strict=True):
+                        got[i] = ids
+                told = iter(got)
+                into.update((x, b"".join(islice(told, len(own)))) for x, own in zip(todo, parts, strict=True))
                 first, size = k + 1, 0
 
-    def _query(self, todo: list[bytes]) -> list[bytes]:
+    def _parts(self, piece: bytes) -> list[bytes]:
+        """The piece, cut where no token stands across, if it is long."""
+        if len(piece) <= LONG:
+            return [piece]
+        cuts, reach = [0], 0
+        for at in range(len(piece)):
+            if at and at == reach:
+                cuts.append(at)
+            reach, stop = max(reach, at + 1), at + 1
+            while stop <= len(piece) and piece[at:stop] in self.starts:
+                if stop > reach and piece[at:stop] in self.ranks:
+                    reach = stop
+                stop += 1
+        return [piece[a:b] for a, b in zip(cuts, [*cuts[1:], len(piece)], strict=True)]
+
+    def _query(self, todo: list[bytes], how: str) -> list[bytes]:
         offsets = np.cumsum([0, *map(len, todo)]).astype(np.int32)
         ids = self.byte_id[np.frombuffer(b"".join(todo), np.uint8)]
         self.db.register("pieces", pa.table({"w": pa.array(np.arange(len(todo), dtype=np.int32)), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))}))
-        got = self.db.sql(ENCODE).to_arrow_table()
+        got = self.db.sql(how).to_arrow_table()
         self.db.unregister("pieces")
         lists = got["ids"].combine_chunks()
         raw, at = np.asarray(lists.flatten(), np.int32).tobytes(), (lists.offsets.to_numpy() - lists.offsets[0].as_py()) * 4

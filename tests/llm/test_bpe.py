@@ -1,4 +1,6 @@
 import hashlib
+import random
+import time
 
 import pytest
 import tiktoken
@@ -62,6 +64,42 @@ def test_leftmost_least_rank_first():
         bpe.Codec({b"a": 0}, ".")
 
 
+def by_hand(text, ranks):
+    parts = [bytes([b]) for b in text.encode()]
+    while pairs := [(ranks[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in ranks]:
+        _, k = min(pairs)
+        parts[k : k + 2] = [parts[k] + parts[k + 1]]
+    return [ranks[p] for p in parts]
+
+
+def test_long_pieces_keep_the_order(monkeypatch):
+    """Ranks below their parts': a contraction may make a lower pair, before the next of the minimum's turn."""
+    monkeypatch.setattr(bpe, "LONG", 5)
+    ranks = {bytes([b]): b for b in range(256)} | {b"aa": 300, b"ab": 301, b"aab": 258, b"ba": 259, b"aaaa": 260, b"abab": 299, b"aba": 262, b"bab": 263, b"abcab": 264, b"cc": 265}
+    codec, rnd = bpe.Codec(ranks, r"(?s).+"), random.Random(2)
+    for _ in range(300):
+        text = "".join(rnd.choices("aabc", k=rnd.randint(1, 40)))
+        assert codec.encode([text])[0].tolist() == by_hand(text, ranks)
+
+
+def test_very_long_pieces_in_bounded_time(public):
+    ranks, pattern, library = public
+    codec, rnd = bpe.Codec(ranks, pattern), random.Random(1)
+    for text in ("".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=100_000)), "a" * 100_000, "ab" * 20_000, "é" * 9_999, "thequickbrownfox" * 3_000, " " * 30_000, "=-" * 9_000):
+        began = time.time()
+        assert codec.encode([text])[0].tolist() == library.encode_ordinary(text)
+        assert time.time() - began < 20  # pair by pair they take minutes
+
+
+@pytest.mark.parametrize("pattern", [r"\S+| +|\s", r"(?s).", r" ?[a-z]+ ?|(?s)."])
+def test_other_patterns_are_not_cut_at_blanks(public, pattern):
+    ranks, _, _ = public
+    library = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    codec = bpe.Codec(ranks, pattern)
+    for text in ("one two three", " a  b c", "x y.z w"):
+        assert codec.encode([text])[0].tolist() == library.encode_ordinary(text)
+
+
 def test_empty(documents, public):
     ranks, pattern, _ = public
     assert bpe.encode(documents([]), ranks, pattern).count() == 0 and bpe.round_trip(documents([]), ranks, pattern).count() == 0
