@@ -5,7 +5,8 @@ ranks the windows of 2, 4, 8 ... lines: the rank of 2h lines comes from the pair
 i + h, named in sorted order, so ranks are those of a suffix array cut at that depth. Windows that occur once leave
 after each round. Windows with equal rank at depth min_lines are the longest-common-prefix intervals of value
 min_lines or more: consecutive ones form maximal repeated runs. All but the first occurrence, by (doc_id, line number),
-is a later copy, and its lines are deleted.
+is a later copy, and its lines are deleted. Deeper rounds would delete no more: a later copy of a longer run is made of later copies of its
+windows of min_lines. A single line of long_words words or more is a passage of its own and is deleted, too, where it comes later.
 
 Cases: lines are split at \\n; a null or empty text has one empty line. Ties of doc_id are ordered by the text's
 digest; of rows equal in id and text one is the first. A run that overlaps itself (A A A) keeps what precedes its second
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 
 from .common import load, materialise, row_key, text_or_empty
 
-#: Runs of fewer lines stay: one line alone is often a heading or a date.
-MIN_LINES = 2
+#: Runs of fewer lines stay, as one line alone is often a heading or a date; unless it has LONG_WORDS words.
+MIN_LINES, LONG_WORDS = 2, 51
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _ranked(windows: DataFrame, names: list[str], label: str) -> DataFrame:
@@ -34,17 +36,19 @@ def _ranked(windows: DataFrame, names: list[str], label: str) -> DataFrame:
     return materialise(repeated.repartitionByRange(*names).sortWithinPartitions(*names).withColumn("deep", F.monotonically_increasing_id()), label)
 
 
-def repeated_windows(docs: DataFrame, *, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, key, i, rank, first: every place where min_lines lines start that also start elsewhere, with the first such place.
+def repeated_windows(docs: DataFrame, *, min_lines: int = MIN_LINES, long_words: int | None = LONG_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc, key, i, span, first: every place where min_lines lines, or one line of long_words words, start that also start elsewhere, with the first such place.
 
-    Rows of documents equal in id and text share doc and key; their places come once for each of them.
+    span is min_lines or 1. Rows of documents equal in id and text share doc and key; their places come once for each of them.
     """
     if min_lines < 1:
         raise ValueError("min_lines must be at least 1")
     t = text_or_empty(text_col)
     lines = docs.select(F.col(id_col).alias("doc"), row_key(F.col(id_col), t).alias("key"), F.posexplode(F.split(t, "\n", -1)).alias("i", "line"))
-    lines = materialise(lines.select("doc", "key", "i", F.unhex(F.md5(F.col("line").cast("binary"))).alias("line")), "lines")
-    at = lines.join(_ranked(lines, ["line"], "line-ids"), "line").select("doc", "key", "i", F.col("deep").alias("rank"), "first")
+    alone = F.regexp_count("line", F.lit(WORD)) >= long_words if long_words is not None and min_lines > 1 else F.lit(False)
+    lines = materialise(lines.select("doc", "key", "i", F.unhex(F.md5(F.col("line").cast("binary"))).alias("line"), alone.alias("alone")), "lines")
+    at = lines.join(_ranked(lines, ["line"], "line-ids"), "line").select("doc", "key", "i", F.col("deep").alias("rank"), "first", "alone")
+    passages = at.where("alone").select("doc", "key", "i", F.lit(1).alias("span"), "first")
     depth = 1
     while depth < min_lines:
         step = min(depth, min_lines - depth)  # the last two windows may overlap: together they have depth + step lines
@@ -54,20 +58,22 @@ def repeated_windows(docs: DataFrame, *, min_lines: int = MIN_LINES, id_col: str
         deeper = _ranked(pairs, ["rank", "then"], f"ranks-{depth + step}")
         at = pairs.join(deeper, ["rank", "then"]).select("doc", "key", "i", F.col("deep").alias("rank"), "first")
         depth += step
-    return at
+    windows = at.select("doc", "key", "i", F.lit(min_lines).alias("span"), "first")
+    return windows.unionByName(passages) if long_words is not None and min_lines > 1 else windows
 
 
-def line_dedup(docs: DataFrame, *, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(docs: DataFrame, *, min_lines: int = MIN_LINES, long_words: int | None = LONG_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, text without the later copies, n_lines, removed (line numbers from 0, sorted), runs (start, stop)."""
-    at = repeated_windows(docs, min_lines=min_lines, id_col=id_col, text_col=text_col)
+    at = repeated_windows(docs, min_lines=min_lines, long_words=long_words, id_col=id_col, text_col=text_col)
     is_first = F.col("first.doc").eqNullSafe(F.col("doc")) & (F.col("first.key") == F.col("key")) & (F.col("first.i") == F.col("i"))
-    starts = at.groupBy("key").agg(F.collect_set(F.when(~is_first, F.col("i"))).alias("later"), F.collect_set("i").alias("all"))
+    start = F.struct("i", "span")
+    starts = at.groupBy("key").agg(F.collect_set(F.when(~is_first, start)).alias("later"), F.collect_set(start).alias("all"))
     rows = docs.select(F.col(id_col).alias("doc"), row_key(F.col(id_col), text_or_empty(text_col)).alias("key"), text_or_empty(text_col).alias("t"))
     # of rows equal in id and text, all but one are later copies throughout
     copy = F.row_number().over(Window.partitionBy("key").orderBy("key"))
-    begins = F.sort_array(F.coalesce(F.when(copy > 1, F.col("all")).otherwise(F.col("later")), F.array().cast("array<int>")))
+    begins = F.sort_array(F.coalesce(F.when(copy > 1, F.col("all")).otherwise(F.col("later")), F.array().cast("array<struct<i:int,span:int>>")))
     cut = rows.join(starts, "key", "left").select("doc", F.split("t", "\n", -1).alias("lines"), begins.alias("begins"))
-    covered = F.array_distinct(F.flatten(F.transform("begins", lambda i: F.sequence(i, i + (min_lines - 1)))))
+    covered = F.array_distinct(F.flatten(F.transform("begins", lambda x: F.sequence(x.i, x.i + x.span - 1))))
     cut = cut.withColumn("removed", F.sort_array(covered))
     # a run starts at a removed line whose predecessor stays, and stops likewise
     after = F.transform("removed", lambda i: i + 1)
@@ -77,7 +83,7 @@ def line_dedup(docs: DataFrame, *, min_lines: int = MIN_LINES, id_col: str = "do
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text of documents without the later copies of runs of MIN_LINES lines or more."""
+    """Every text of documents without the later copies of runs of MIN_LINES lines or more, and of lines of LONG_WORDS words or more."""
     out = line_dedup(load(spark, sf_dir, "documents"))
     said = F.array_join(F.transform("runs", lambda r: F.concat_ws(":", r.start, r.stop)), ",")
     return out.select(
@@ -97,8 +103,12 @@ win AS (
 firsts AS (
     SELECT doc_id, i, row_number() OVER (PARTITION BY line, then_line ORDER BY doc_id, i) AS nth
     FROM win WHERE then_line IS NOT NULL),
+passages AS (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) AS nth
+    FROM lines WHERE len(regexp_extract_all(line, '{WORD}')) >= {LONG_WORDS}),
 gone AS (
-    SELECT DISTINCT doc_id, i + k AS i FROM firsts, (VALUES (0), (1)) AS s(k) WHERE nth > 1),
+    SELECT doc_id, i + k AS i FROM firsts, (VALUES (0), (1)) AS s(k) WHERE nth > 1
+    UNION SELECT doc_id, i FROM passages WHERE nth > 1),
 marked AS (
     SELECT l.doc_id, l.i, l.line, g.i IS NOT NULL AS cut
     FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i),

@@ -5,8 +5,8 @@ import pytest
 from quotewell.llm.line_dedup import line_dedup
 
 
-def expected(rows, n):
-    """Windows of n lines that start earlier elsewhere are cut; of equal rows the first is first."""
+def expected(rows, n, words=51):
+    """Windows of n lines, and lines of so many words, that start earlier elsewhere are cut; of equal rows the first is first."""
     seen, out = set(), []
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
         lines, cut = (t or "").split("\n"), set()
@@ -15,6 +15,11 @@ def expected(rows, n):
             if w in seen:
                 cut |= set(range(k, k + n))
             seen.add(w)
+        for k, x in enumerate(lines):
+            if len(x.split()) >= words and n > 1:
+                if x in seen:
+                    cut.add(k)
+                seen.add(x)
         out.append((i, "\n".join(x for k, x in enumerate(lines) if k not in cut), len(lines), sorted(cut)))
     return sorted(out, key=repr)
 
@@ -38,6 +43,22 @@ def test_random_documents(documents):
         assert rows_of(line_dedup(documents(rows), min_lines=n)) == expected(rows, n)
 
 
+def test_single_lines_of_many_words(documents):
+    """A passage of 51 words on one line goes where it comes again, between any neighbours; one of 50 stays."""
+    long, short = " ".join(f"w{k}" for k in range(51)), " ".join(f"v{k}" for k in range(50))
+    rows = [(1, long), (2, f"a\n{long}\nb"), (3, short), (4, f"c\n{short}\nd"), (5, f"{long}\n{long}\ne"), (6, long), (7, f"{long} x"), (None, f"z\n{short}")]
+    assert rows_of(line_dedup(documents(rows))) == expected(rows, 2)
+    assert rows_of(line_dedup(documents(rows), long_words=50)) == expected(rows, 2, 50)
+    assert rows_of(line_dedup(documents(rows), long_words=None)) == expected(rows, 2, 10**9)
+
+
+def test_very_long_texts(documents):
+    """A text of 30,000 lines, half of which stand in another, and a line of 200,000 words."""
+    many = [f"line {k}" for k in range(30_000)]
+    rows = [(1, "\n".join(many)), (2, "\n".join(["x", *many[:15_000], "y"])), (3, "w " * 200_000), (4, "q\n" + "w " * 200_000)]
+    assert rows_of(line_dedup(documents(rows))) == expected(rows, 2)
+
+
 def test_equal_rows(documents):
     out = rows_of(line_dedup(documents([(1, "a\nb"), (1, "a\nb"), (2, "c")])))
     assert out == [(1, "", 2, [0, 1]), (1, "a\nb", 2, []), (2, "c", 1, [])]
