@@ -2,10 +2,12 @@
 
 Links of near fingerprints (see simhash) come first and join most of a group. What they leave apart is looked for by MinHash: the set of
 a text's shingles has HASHES minima, dealt to BANDS bands, and two sets meet in a bucket if all minima of a band agree. At a similarity of 0.8
-two sets miss each other in all bands with a chance of 3e-8, above it with less. Only buckets that hold parts of different groups are looked into: their sets
-come along, similarities are exact, and a spanning forest of the links leaves the task, never all pairs.
+two sets miss each other in all bands with a chance of 4e-4, above it with less; at 0.3, as texts with a common frame have, they meet with one of 0.05. Only buckets that hold parts
+of different groups are looked into: their sets come along, similarities are exact, and a spanning forest of the links leaves the task, never all pairs.
+A bucket of more than BLOCK sets is dealt out to blocks, and each pair of blocks is a task's work of its own: no task holds more than two blocks, and no pair is left out.
 
-Cases: texts without words have no shingles and meet by their fingerprint alone; texts shorter than a shingle are one shingle.
+Cases: texts without words have no shingles and meet by their fingerprint alone; texts shorter than a shingle are one shingle; very long texts are read whole.
+Null ids, repeated rows and empty tables need no rule: rows are known by a digest of id and text.
 """
 
 from __future__ import annotations
@@ -21,13 +23,15 @@ from .common import materialise, row_key, text_or_empty, to_python
 from .components import components
 from .simhash import _node, _unite, near_links, pair_of, shingle_hashes
 
-BANDS, ROWS = 24, 3
+BANDS, ROWS = 20, 5
 HASHES = BANDS * ROWS
 #: Odd multipliers, one for each minimum.
 _BY = np.random.default_rng(42).integers(1, 1 << 63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Shingles whose minima are taken at once.
 AT_ONCE = 1 << 12
+#: Sets of a bucket that are compared together.
+BLOCK = 1_024
 
 
 def shingle_set(text: bytes, shingle: int) -> np.ndarray:
@@ -78,20 +82,25 @@ def _similar(least: float):
         names, group = np.unique(np.array(roots), return_inverse=True)
         if len(names) < 2:
             return []
-        own = [np.frombuffer(x, np.uint64) for x in sets]
+        order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
+        own, group = [np.frombuffer(sets[i], np.uint64) for i in order], group[order]
         size = np.array([len(x) for x in own])
         ids = np.unique(np.concatenate(own), return_inverse=True)[1].ravel()
-        starts = np.cumsum(size) - size
-        root, found, mark = np.arange(len(names)), [], np.zeros(ids.max() + 1, np.int64)
-        for i in range(len(own)):
-            if (root == root[0]).all():
-                break
-            mine = ids[starts[i] : starts[i] + size[i]]
-            mark[mine] = 1
-            both = np.add.reduceat(mark[ids], starts)
-            mark[mine] = 0
-            ok = np.flatnonzero((both >= least * (size + size[i] - both) - 1e-9) & (root[group] != root[group[i]]))
-            for g in np.unique(group[ok]).tolist():
+        ends = np.cumsum(size)
+        starts = ends - size
+        # similar sets are of similar sizes: with a set meet only those after it, up to so many times its size
+        until = np.searchsorted(size, size / least + 1e-9, "right")
+        root, found, mark = np.arange(len(names)), [], np.zeros(ids.max() + 1, bool)
+        for i in range(len(own) - 1):
+            others = slice(i + 1, until[i])
+            if until[i] <= i + 1 or (root[group[others]] == root[group[i]]).all():
+                continue
+            mine = ids[starts[i] : ends[i]]
+            mark[mine] = True
+            both = np.add.reduceat(mark[ids[ends[i] : ends[until[i] - 1]]], starts[others] - ends[i], dtype=np.int64)
+            mark[mine] = False
+            ok = np.flatnonzero((both >= least * (size[others] + size[i] - both) - 1e-9) & (root[group[others]] != root[group[i]]))
+            for g in np.unique(group[others][ok]).tolist():
                 if root[g] != root[group[i]]:
                     found.append((str(names[group[i]]), str(names[g])))
                     _unite(root, np.array([group[i]]), np.array([g]))
@@ -120,8 +129,11 @@ def similar_links(rows: DataFrame, placed: DataFrame, *, shingle: int, least: fl
     """rows (key, text), placed (key, root, bands) -> links (a, b) of roots that have texts with a similarity of least or more."""
     spread = placed.select("key", "root", F.explode("bands").alias("band"))
     mark = F.xxhash64("root")
-    shared = spread.groupBy("band").agg(F.min(mark).alias("lo"), F.max(mark).alias("hi")).where("lo <> hi").select("band")
-    met = materialise(spread.join(shared, "band").distinct(), "met")
+    shared = spread.groupBy("band").agg(F.min(mark).alias("lo"), F.max(mark).alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("band", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    shared = materialise(shared, "shared-bands")  # written first, so that the adaptive join may split a common band
+    mine = F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks"))
+    cells = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda k: F.when(F.col("blocks") == 1, F.col("band")).otherwise(F.xxhash64("band", F.least(mine, k), F.greatest(mine, k))))
+    met = materialise(spread.join(shared, "band").select("key", "root", F.explode(cells).alias("band")).distinct(), "met")
     wanted = materialise(met.select("key").distinct(), "wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -57,6 +57,24 @@ def test_all_links_of_a_chain_and_no_others(spark, documents):
     assert groups.select("component").distinct().count() == len(set(root)) < len(rows)
 
 
+def test_a_large_bucket_is_compared_in_blocks(spark, documents, monkeypatch):
+    """All texts share a frame, so they meet in buckets; blocks of 8 lose no link."""
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    rnd = random.Random(7)
+    frame, rows = [f"f{k}" for k in range(120)], []
+    for g in range(40):
+        own = frame + [f"w{rnd.getrandbits(30)}" for _ in range(70)]
+        rows += [(2 * g, " ".join(own)), (2 * g + 1, " ".join(changed(rnd, own, 2)))]
+    texts = dict(rows)
+    root = list(range(80))
+    for i in range(80):
+        for k in range(i):
+            if similarity(texts[i], texts[k]) >= 0.8:
+                root = [root[k] if r == root[i] else r for r in root]
+    groups = jaccard.near_groups(documents(rows), shingle=5, max_bits=0, second_bits=0, least=0.8)
+    assert groups.select("component").distinct().count() == len(set(root)) < 60
+
+
 def test_bands_miss_nothing_of_the_range():
     rnd = np.random.default_rng(3)
     for n in (5, 60, 900, 9000):

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 cp = pytest.importorskip("corpus_pipeline")
-from quotewell.llm import mixing, quality, simhash  # noqa: E402
+from quotewell.llm import jaccard, mixing, quality, simhash  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -46,6 +46,8 @@ def test_exact_keeps_the_largest_of_equals(stages):
 def test_near_keeps_one_of_each_group(stages):
     rows = stages["exact"]
     prints = [simhash.fingerprint_pair(r.text.encode(), cp.NEAR_SHINGLE, True) for r in rows]
+    sets = [set(jaccard.shingle_set(r.text.encode(), cp.NEAR_SHINGLE).tolist()) for r in rows]
+    similar = lambda a, b: bool(a) and bool(b) and len(a & b) >= cp.NEAR_LEAST * len(a | b)
     root = list(range(len(rows)))
 
     def find(x):
@@ -55,7 +57,8 @@ def test_near_keeps_one_of_each_group(stages):
 
     for i in range(len(rows)):
         for k in range(i):
-            if (prints[i][0] ^ prints[k][0]).bit_count() <= cp.NEAR_BITS and (prints[i][1] ^ prints[k][1]).bit_count() <= cp.NEAR_SECOND_BITS:
+            near = (prints[i][0] ^ prints[k][0]).bit_count() <= cp.NEAR_BITS and (prints[i][1] ^ prints[k][1]).bit_count() <= cp.NEAR_SECOND_BITS
+            if near or similar(sets[i], sets[k]):
                 root[find(i)] = find(k)
     least = {}
     for i, r in enumerate(rows):
@@ -79,5 +82,27 @@ def test_tokens_are_those_of_the_library(stages):
     assert Counter(tuple(r) for r in stages["tokens"]) == want
 
 
+def test_odd_rows_go_through_every_stage(spark, tmp_path):
+    """Null ids and texts, empty and very long texts, repeated rows, ids with several texts, clashing columns; and no rows at all."""
+    good = lambda k: " ".join(f"w{(k * 31 + j * j) % 997}" for j in range(80))
+    rows = [(k, good(k), "en", f"src{k % 6}", 1, True) for k in range(40)]
+    rows += [(None, good(50), None, None, 2, None), (None, None, "en", "src1", 3, None), (60, "", "de", "src2", 4, True), (61, " ".join(f"v{j % 4999}" for j in range(30_000)), "fr", "src3", 5, False)]
+    rows += [rows[0], rows[0], (1, good(70), "en", "src1", 6, True), (80, good(3) + " more", "en", "src3", 7, True)]
+    schema = "doc_id bigint, text string, lang string, source string, n bigint, kept boolean"
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for some in (rows, []):
+        docs = spark.createDataFrame(some, schema).repartition(3)
+        sizes = []
+        for name, f in cp.STAGES:
+            out = f(spark, docs, str(tmp_path))
+            path = str(tmp_path / f"{name}-{len(some)}")
+            out.write.parquet(path)
+            assert name == "tokens" or out.columns == docs.columns
+            docs = spark.read.schema(out.schema).parquet(path)
+            sizes.append(docs.count())
+        # without labels the base rules decide: texts of fewer than 50 words go; equal texts; one near copy
+        assert sizes[:3] == ([47 - 1, 44, 43] if some else [0, 0, 0]) and (sizes[3] > 0) == bool(some)
+
+
 def test_run_gives_the_last_stage(spark, sf_dir, stages):
     assert Counter(tuple(r) for r in cp.run(spark, sf_dir).collect()) == Counter(tuple(r) for r in stages["tokens"])
