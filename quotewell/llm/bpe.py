@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import load, to_python
 
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Texts encoded together: their new pieces share a query.
 DOCS_AT_ONCE = 800
 #: Characters of pieces that one recursive query takes at most, unless a single piece is longer.

@@ -90,7 +90,7 @@ def row_key(row_id: Column, text: Column) -> Column:
 
 
 #: Bytes of texts that Python gets at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def to_python(df: DataFrame) -> DataFrame:

@@ -43,12 +43,12 @@ LENGTH, K = 400, 32
 #: Bytes of a text hashed at once; windows of the next stretch overlap.
 STRETCH = 1 << 18
 #: Bytes of contexts in a bin, about.
-BIN_BYTES = 1_500_000
+BIN_BYTES = 1_000_000
 HOT_CONTEXTS = 2_000
 #: Words; any 51 in a row are PASSAGE_WINDOW shingles, of which the least is told.
 PASSAGE_SHINGLE, PASSAGE_WINDOW = 26, 26
 #: Distinct words that a task remembers between documents, a cache.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 16
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xD6E8FEB86659FD93)
