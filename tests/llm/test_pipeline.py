@@ -86,7 +86,7 @@ def test_odd_rows_go_through_every_stage(spark, tmp_path):
     """Null ids and texts, empty and very long texts, repeated rows, ids with several texts, clashing columns; and no rows at all."""
     good = lambda k: " ".join(f"w{(k * 31 + j * j) % 997}" for j in range(80))
     rows = [(k, good(k), "en", f"src{k % 6}", 1, True) for k in range(40)]
-    rows += [(None, good(50), None, None, 2, None), (None, None, "en", "src1", 3, None), (60, "", "de", "src2", 4, True), (61, " ".join(f"v{j % 4999}" for j in range(30_000)), "fr", "src3", 5, False)]
+    rows += [(None, good(50), None, None, 2, None), (None, None, "en", "src1", 3, None), (60, "", "de", "src2", 4, True), (61, " ".join(f"v{j}" for j in range(30_000)), "fr", "src3", 5, False)]
     rows += [rows[0], rows[0], (1, good(70), "en", "src1", 6, True), (80, good(3) + " more", "en", "src3", 7, True)]
     schema = "doc_id bigint, text string, lang string, source string, n bigint, kept boolean"
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
@@ -101,7 +101,7 @@ def test_odd_rows_go_through_every_stage(spark, tmp_path):
             docs = spark.read.schema(out.schema).parquet(path)
             sizes.append(docs.count())
         # without labels the base rules decide: texts of fewer than 50 words go; equal texts; one near copy
-        assert sizes[:3] == ([47 - 1, 44, 43] if some else [0, 0, 0]) and (sizes[3] > 0) == bool(some)
+        assert sizes[:3] == ([46, 44, 43] if some else [0, 0, 0]) and (sizes[3] > 0) == bool(some)
 
 
 def test_run_gives_the_last_stage(spark, sf_dir, stages):
