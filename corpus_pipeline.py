@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotewell.llm import bpe, exact_dedup, jaccard, mixing, quality
-from quotewell.llm.common import fresh_path, load, materialise, row_key, text_or_empty
+from quotewell.llm.common import drop_tables, fresh_path, load, made, materialise, row_key, text_or_empty
 
 #: Near copies share word shingles of five: those within 10 of 64 bits and 16 of a second fingerprint's, as strangers hardly ever are, and all with
 #: a Jaccard similarity of NEAR_LEAST or more, however far their fingerprints are apart.
@@ -17,12 +17,12 @@ NEAR_SHINGLE, NEAR_BITS, NEAR_SECOND_BITS, NEAR_LEAST = 5, 10, 16, 0.8
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go: null, empty and short texts with them. Other rows stay as often as they come; without labels the base rules decide alone."""
     return quality.good_rows(docs, load(spark, sf_dir, "labels"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the largest doc_id stays."""
+    """Of equal texts, of any length, the largest doc_id stays; null ids rank last, and of rows equal in both one stays."""
     return exact_dedup.distinct_texts(docs)
 
 
@@ -41,12 +41,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The production mixture; documents of scarce sources come once for each epoch."""
+    """The production mixture; documents of scarce sources come once for each epoch. Null languages and sources are leaves named null; a very long text is taken or left whole; an empty table gives none."""
     return mixing.mixed_rows(docs, **mixing.production())
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and what they decode to, as digests."""
+    """Token ids of every text, and what they decode to, as digests: a row a row, null texts as empty ones, texts of any length whole."""
     return bpe.production_round_trip(docs)
 
 
@@ -57,11 +57,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
-    docs = load(spark, sf_dir, "documents")
+    """All stages over documents, each written to the shared folder and read again. What a stage has read and written on the way is deleted after it."""
+    docs, since = load(spark, sf_dir, "documents"), made()
     for name, stage in STAGES:
         out = stage(spark, docs, sf_dir)
         path = fresh_path(spark, f"stage-{name}")
         out.write.parquet(path)
+        drop_tables(spark, since, keep=path)
         docs = spark.read.schema(out.schema).parquet(path)
     return docs
