@@ -57,15 +57,15 @@ BASE: dict[str, str] = {
                CASE WHEN s_suppkey % 5 IN (0, 1) THEN 'main' WHEN s_suppkey % 5 = 2 THEN 'second' ELSE 'other' END AS type, s_suppkey % 25 = 0 AS is_index
         FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL SELECT 2) AS snaps""",
     "feed_delisted": """
-        SELECT lpad(CAST(c_custkey * 3 AS STRING), 4, '0') AS stock_id, c_name AS stock_name,
+        SELECT CASE WHEN c_custkey < 3000 THEN lpad(CAST(c_custkey * 3 AS STRING), 4, '0') ELSE CAST(c_custkey * 3 AS STRING) END AS stock_id, c_name AS stock_name,
                CASE WHEN c_custkey % 4 = 0 THEN CAST(NULL AS DATE) ELSE CAST(min(o_orderdate) AS DATE) END AS delisted_date,
                CASE WHEN c_custkey % 6 = 0 THEN 'etf' ELSE 'common' END AS shape, CAST(min(o_orderdate) AS DATE) AS first_seen, CAST(max(o_orderdate) AS DATE) AS last_seen,
                CASE WHEN c_custkey % 3 = 0 THEN 'both' WHEN c_custkey % 3 = 1 THEN 'discovered' ELSE 'delisting' END AS source
-        FROM {customer} JOIN {orders} ON o_custkey = c_custkey WHERE c_custkey BETWEEN 20 AND 60 GROUP BY c_custkey, c_name""",
+        FROM {customer} JOIN {orders} ON o_custkey = c_custkey GROUP BY c_custkey, c_name""",
     "feed_industry": """
         SELECT lpad(CAST(l_suppkey AS STRING), 4, '0') AS stock_id, p_brand AS industry, CASE WHEN p_size % 5 = 0 THEN CAST(NULL AS STRING) ELSE p_type END AS sub_industry,
                CAST(max(l_shipdate) AS DATE) AS snapshot_date
-        FROM {lineitem} JOIN {part} ON p_partkey = l_partkey WHERE l_partkey % 10 = 0
+        FROM {lineitem} JOIN {part} ON p_partkey = l_partkey
         GROUP BY l_suppkey, p_brand, CASE WHEN p_size % 5 = 0 THEN CAST(NULL AS STRING) ELSE p_type END""",
     "feed_known_empty": """
         SELECT date, CAST(date AS TIMESTAMP) AS confirmed_at FROM feed_calendar_raw WHERE day(date) = 13
@@ -73,7 +73,7 @@ BASE: dict[str, str] = {
     "feed_runs": """
         SELECT event_type AS job, CASE WHEN event_id % 10 = 0 THEN 'failed' WHEN event_id % 15 = 0 THEN 'partial' ELSE 'ok' END AS status, CAST(ts AS STRING) AS started_at, CAST(ts AS STRING) AS finished_at,
                value AS duration_seconds, concat('host', CAST(user_id % 3 AS STRING)) AS host, props AS metrics, event_id
-        FROM {events} WHERE event_id % 5 = 0""",
+        FROM {events}""",
     "vendor_bars": """
         SELECT date, stock_id, concat('Security ', CAST(k AS STRING)) AS stock_name, bottom AS open, top AS high, bottom AS low,
                CASE WHEN k = 9 AND day_no % 40 = 0 THEN CAST(0 AS DOUBLE) WHEN (k + day_no) % 5 = 0 THEN px * (1 - cut) ELSE px END AS close,
@@ -114,7 +114,7 @@ BASE: dict[str, str] = {
     "vendor_runs": """
         SELECT concat('v-', event_type) AS job, CASE WHEN event_id % 14 = 0 THEN 'failed' ELSE 'ok' END AS status, CAST(ts AS STRING) AS started_at, CAST(ts AS STRING) AS finished_at,
                value AS duration_seconds, 'vhost' AS host, props AS metrics, event_id
-        FROM {events} WHERE event_id % 7 = 0""",
+        FROM {events}""",
 }
 TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "part", "events")
 
