@@ -99,10 +99,10 @@ def workbook_plan(calendar: DataFrame, latest: DataFrame, last_closed: dt.date,
     modal = latest.groupBy(c("last_date").alias("modal")).count().orderBy(F.desc("count"), F.desc("modal")).limit(1).select("modal")
     at = latest.join(days.withColumnRenamed("date", "last_date"), "last_date").withColumnRenamed("no", "own")
     top = modal.join(days.withColumnRenamed("date", "modal"), "modal").select(c("no").alias("modal_no"))
-    active = at.crossJoin(F.broadcast(top)).where(c("own") >= c("modal_no") - window).select("stock_id", "last_date")
-    ahead = days.where(c("date") <= _day(last_closed)).select("date")
-    first = active.agg(F.min("last_date").alias("oldest"))  # sessions before it concern nobody
-    return ahead.crossJoin(F.broadcast(first)).where("date > oldest").join(F.broadcast(active), c("date") > c("last_date")).select("stock_id", "date")
+    end = days.where(c("date") <= _day(last_closed)).agg(F.max("no").alias("end"))
+    active = at.crossJoin(F.broadcast(top)).crossJoin(F.broadcast(end)).where((c("own") >= c("modal_no") - window) & (c("own") < c("end")))
+    # sessions are numbered, so that what each workbook lacks expands without a range join
+    return active.select("stock_id", F.explode(F.sequence(c("own") + 1, c("end"))).alias("no")).join(days, "no").select("stock_id", "date")
 
 
 def index_seed_plan(calendar: DataFrame, latest: dt.date, as_of: dt.date) -> DataFrame:

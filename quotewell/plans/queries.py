@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotewell.operators import between, checks, compare, explore, feed_views, snapshot, vendor_views  # noqa: F401  registers the views
+from quotewell.operators import between, checks, compare, explore, feed_views, snapshot, upkeep, vendor_views  # noqa: F401  registers the views
 from quotewell.plans.warehouse import VIEWS, Warehouse
 from quotewell.sources.adapters import warehouse
 
@@ -35,5 +35,5 @@ def flat(df: DataFrame) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     views = {name: lambda w, name=name: getattr(w, name) for name in VIEWS}
-    own = views | compare.QUERIES | snapshot.QUERIES | explore.QUERIES | RANGES | checks.QUERIES
+    own = views | compare.QUERIES | snapshot.QUERIES | explore.QUERIES | RANGES | upkeep.QUERIES | checks.QUERIES
     return {name: lambda spark, sf_dir, f=f: flat(f(trial(spark, sf_dir))) for name, f in own.items()}
