@@ -20,6 +20,21 @@ def view(f: View) -> View:
     VIEWS[f.__name__] = f
     return f
 
+_SPAN = "year BETWEEN year(lo) AND year(hi) AND date BETWEEN lo AND hi"
+#: Table functions for SQL users: arguments, the view they read, its columns with their names (None: all as they are), and the rows. The year bounds let scans prune folders.
+RANGES: dict[str, tuple[str, str, dict[str, str] | None, str]] = {
+    "daily_prices_between": ("lo DATE, hi DATE", "feed_v_daily_prices", None, _SPAN),
+    "adj_daily_prices_between": ("lo DATE, hi DATE", "feed_v_adj_daily_prices", None, _SPAN),
+    "prices_combined_between": ("lo DATE, hi DATE", "feed_v_prices_combined", None, _SPAN),
+    "vendor_prices_between": ("lo DATE, hi DATE", "vendor_v_adj_daily_prices", None, _SPAN),
+    "index_constituents_between": ("lo DATE, hi DATE", "vendor_v_index_constituents", None, _SPAN),
+    "index_members_on": (
+        "wanted STRING, as_of DATE", "vendor_v_index_constituents",
+        {x: x for x in ("stock_id", "stock_name")} | {"prev_weight_pct": "weight_pct"} | {x: x for x in ("index_factor", "free_float_factor", "cap_factor", "shares", "prev_adj_close")},
+        "year = year(as_of) AND date = as_of AND index_id = wanted",
+    ),
+}
+
 
 class Warehouse:
     """Base tables by name, and views as attributes: w.feed_v_daily_prices."""
@@ -41,12 +56,18 @@ class Warehouse:
         return self._planned[name]
 
     def register(self) -> list[str]:
-        """Make every view a temporary view of the session, for SQL users; a view that can't be planned names itself."""
+        """Make every view a temporary view of the session, for SQL users; a view that can't be planned names itself. RANGES become table functions."""
         for name in VIEWS:
             try:
                 getattr(self, name).createOrReplaceTempView(name)
             except Exception as e:
                 raise RuntimeError(f"view {name}") from e
+        for name, (arguments, source, columns, where) in RANGES.items():
+            rows = getattr(self, source)
+            shown = {x: x for x in rows.columns} if columns is None else columns
+            kinds = ", ".join(f"`{alias}` {rows.schema[x].dataType.simpleString()}" for x, alias in shown.items())
+            picked = ", ".join(f"`{x}`" for x in shown)
+            self.spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS TABLE ({kinds}) RETURN SELECT {picked} FROM {source} WHERE {where}")
         return list(VIEWS)
 
     def smoke_test(self) -> dict[str, int | str]:

@@ -291,5 +291,6 @@ def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
             "feed_known_empty": single(spark, at("known-empty-dates"), schemas.KNOWN_EMPTY), "feed_runs": run_log(spark, f"{root}/logs/feed/*.jsonl"), "vendor_runs": run_log(spark, f"{root}/logs/vendor/*.jsonl"),
             "feed_raw_ticker": snapshots(spark, f"{root}/raw/adj-ticker", schemas.RAW_PRICE), "feed_raw_market": snapshots(spark, f"{root}/raw/adj-market", schemas.RAW_PRICE),
             "vendor_bars": partitioned(spark, at("vendor-prices"), schemas.VENDOR_PRICE), "index_rows": partitioned(spark, at("index-constituents"), schemas.INDEX_ROW),
+            "vendor_workbooks": single(spark, at("workbooks"), schemas.WORKBOOK_SCAN), "vendor_index_workbooks": single(spark, at("index-workbooks"), schemas.INDEX_WORKBOOK_SCAN),
         },
     )

@@ -42,6 +42,8 @@ def _typed(names: tuple[str, ...]) -> T.StructType:
     return schema(", ".join(f"{n} {kinds.get(n) or ('string' if n in _TEXT else 'double')}" for n in names))
 
 
+_SCAN = "file_bytes bigint, modified_at timestamp, sheet_name string, defined_name string, defined_range string, declared_rows bigint, vendor_table string, vendor_field_count bigint, descending boolean, query_matches_contract boolean, scanned_at timestamp"
+WORKBOOK_SCAN, INDEX_WORKBOOK_SCAN = schema(f"source_file string, stock_id string, {_SCAN}"), schema(f"source_file string, index_id string, year int, {_SCAN}")
 VENDOR_PRICE = _typed(VENDOR_BAR)
 INDEX_ROW = _typed(CONSTITUENT)
 

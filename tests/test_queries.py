@@ -7,8 +7,8 @@ import duckdb
 import pytest
 
 from quotewell.plans.oracles import all_sql
-from quotewell.plans.queries import all_queries, trial
-from quotewell.plans.warehouse import VIEWS
+from quotewell.plans.queries import RANGE, all_queries, trial
+from quotewell.plans.warehouse import RANGES, VIEWS
 
 QUERIES, SQL = all_queries(), all_sql()
 TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region", "part", "events")
@@ -65,3 +65,24 @@ def test_range_prunes_folders(spark, sf_dir, tmp_path):
     write_partitioned(w.feed_v_daily_prices, str(tmp_path / "bars"))
     plan = between(spark.read.parquet(str(tmp_path / "bars")), "1997-11-15", "1998-02-14")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "PushedFilters: [IsNotNull(date)" in plan
+
+
+def test_ranges_are_table_functions(spark, sf_dir, db):
+    w = trial(spark, sf_dir)
+    w.register()
+    lo, hi = RANGE
+    for name in RANGES:
+        call = f"{name}('TM100', '1998-01-05')" if name == "index_members_on" else f"{name}('{lo}', '{hi}')"
+        by_sql, by_call = spark.sql(f"SELECT * FROM {call}"), QUERIES[name](spark, sf_dir)
+        assert by_sql.columns == by_call.columns
+        assert table(by_sql.columns, [tuple(r) for r in by_sql.collect()]) == table(by_call.columns, [tuple(r) for r in by_call.collect()])
+
+
+def test_table_function_prunes_folders(spark, sf_dir, tmp_path):
+    from quotewell.sources.readers import open_warehouse
+    from quotewell.sources.sinks import write_partitioned
+
+    write_partitioned(trial(spark, sf_dir).feed_bars, str(tmp_path / "processed" / "daily-prices"))
+    open_warehouse(spark, str(tmp_path)).register()
+    plan = spark.sql("SELECT * FROM daily_prices_between('1997-11-15', '1998-02-14')")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "1997" in plan.split("PartitionFilters")[1] and "PushedFilters: [IsNotNull(date)" in plan
