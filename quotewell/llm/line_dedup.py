@@ -1,20 +1,22 @@
 """Line deduplication by a suffix array over line-ID sequences (DataFrame operators only).
 
 Lines are named by ID; IDs that occur once cannot belong to a repeat and leave at once. Prefix doubling then
-ranks the windows of 2, 4, 8 ... lines: the rank of 2h lines comes from the pair of ranks of h lines at i and
+ranks the windows of 2, 4, 8 ... lines, until no window repeats: the rank of 2h lines comes from the pair of ranks of h lines at i and
 i + h, named in sorted order, so ranks are those of a suffix array cut at that depth. Windows that occur once leave
-after each round. Windows with equal rank at depth min_lines are the longest-common-prefix intervals of value
-min_lines or more: consecutive ones form maximal repeated runs. All but the first occurrence, by (doc_id, line number),
-is a later copy, and its lines are deleted. Deeper rounds would delete no more: a later copy of a longer run is made of later copies of its
-windows of min_lines. A single line of long_words words or more is a passage of its own and is deleted, too, where it comes later.
+after each round, so a round has as many rows as there are lines in repeats of its depth. Windows of equal rank at depth h are the intervals of the suffix array
+whose longest common prefix is h lines or more. All but the first place of an interval, by (doc_id, line number),
+are later copies; in a document they overlap or touch up to its maximal repeated runs, whose lines are deleted.
+Repeats of a depth between two rounds are covered by windows of the lesser one. A single line of long_words words or more is a passage of its own and is deleted, too, where it comes later.
 
-Cases: lines are split at \\n; a null or empty text has one empty line. Ties of doc_id are ordered by the text's
-digest; of rows equal in id and text one is the first. A run that overlaps itself (A A A) keeps what precedes its second
+Cases: lines are split at \\n; a null or empty text has one empty line; very long texts are read whole, a row a line. Ties of doc_id are ordered by the text's
+digest; of rows equal in id and text one is the first, and the others lose all that has min_lines lines or long_words words. A run that overlaps itself (A A A) keeps what precedes its second
 start. Null ids sort first. Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,9 +39,10 @@ def _ranked(windows: DataFrame, names: list[str], label: str) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, *, min_lines: int = MIN_LINES, long_words: int | None = LONG_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, key, i, span, first: every place where min_lines lines, or one line of long_words words, start that also start elsewhere, with the first such place.
+    """doc, key, i, span, first: every place where span lines start that also start elsewhere, with the first such place.
 
-    span is min_lines or 1. Rows of documents equal in id and text share doc and key; their places come once for each of them.
+    span is min_lines, its doubles as far as anything repeats, and 1 for lines of long_words words or more. Rows of documents equal in id and text
+    share doc and key; their places come once for each of them.
     """
     if min_lines < 1:
         raise ValueError("min_lines must be at least 1")
@@ -49,36 +52,55 @@ def repeated_windows(docs: DataFrame, *, min_lines: int = MIN_LINES, long_words:
     lines = materialise(lines.select("doc", "key", "i", F.unhex(F.md5(F.col("line").cast("binary"))).alias("line"), alone.alias("alone")), "lines")
     at = lines.join(_ranked(lines, ["line"], "line-ids"), "line").select("doc", "key", "i", F.col("deep").alias("rank"), "first", "alone")
     passages = at.where("alone").select("doc", "key", "i", F.lit(1).alias("span"), "first")
+    found = [passages] if long_words is not None and min_lines > 1 else []
     depth = 1
-    while depth < min_lines:
-        step = min(depth, min_lines - depth)  # the last two windows may overlap: together they have depth + step lines
+    while True:
+        if depth >= min_lines:
+            found.append(at.select("doc", "key", "i", F.lit(depth).alias("span"), "first"))
+        step = depth if depth >= min_lines else min(depth, min_lines - depth)  # up to min_lines two windows may overlap: together they have depth + step lines
         ahead = Window.partitionBy("key").orderBy("i").rangeBetween(step, step)
         pairs = at.withColumn("then", F.first("rank").over(ahead)).where(F.col("then").isNotNull()).select("doc", "key", "i", "rank", "then")
         pairs = materialise(pairs, f"pairs-{depth + step}")
         deeper = _ranked(pairs, ["rank", "then"], f"ranks-{depth + step}")
         at = pairs.join(deeper, ["rank", "then"]).select("doc", "key", "i", F.col("deep").alias("rank"), "first")
         depth += step
-    windows = at.select("doc", "key", "i", F.lit(min_lines).alias("span"), "first")
-    return windows.unionByName(passages) if long_words is not None and min_lines > 1 else windows
+        if depth >= min_lines and deeper.isEmpty():
+            break
+        if depth > min_lines:
+            at = materialise(at, f"windows-{depth}")
+    if not found:  # nothing has min_lines lines and repeats
+        found.append(at.select("doc", "key", "i", F.lit(min_lines).alias("span"), "first"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def later_runs(at: DataFrame) -> DataFrame:
+    """repeated_windows() -> key, own: the maximal runs (start, stop) of lines that later copies cover, in order."""
+    is_first = F.col("first.doc").eqNullSafe(F.col("doc")) & (F.col("first.key") == F.col("key")) & (F.col("first.i") == F.col("i"))
+    order = Window.partitionBy("key").orderBy("i", "stop")
+    reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    later = at.where(~is_first).select("key", "i", (F.col("i") + F.col("span")).alias("stop"))
+    # a run starts where no window before reaches
+    begun = later.withColumn("head", (reach.isNull() | (F.col("i") > reach)).cast("int"))
+    told = begun.withColumn("run", F.sum("head").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    runs = told.groupBy("key", "run").agg(F.min("i").alias("start"), F.max("stop").alias("stop"))
+    return runs.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("own"))
 
 
 def line_dedup(docs: DataFrame, *, min_lines: int = MIN_LINES, long_words: int | None = LONG_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, text without the later copies, n_lines, removed (line numbers from 0, sorted), runs (start, stop)."""
-    at = repeated_windows(docs, min_lines=min_lines, long_words=long_words, id_col=id_col, text_col=text_col)
-    is_first = F.col("first.doc").eqNullSafe(F.col("doc")) & (F.col("first.key") == F.col("key")) & (F.col("first.i") == F.col("i"))
-    start = F.struct("i", "span")
-    starts = at.groupBy("key").agg(F.collect_set(F.when(~is_first, start)).alias("later"), F.collect_set(start).alias("all"))
+    own = later_runs(repeated_windows(docs, min_lines=min_lines, long_words=long_words, id_col=id_col, text_col=text_col))
     rows = docs.select(F.col(id_col).alias("doc"), row_key(F.col(id_col), text_or_empty(text_col)).alias("key"), text_or_empty(text_col).alias("t"))
     # of rows equal in id and text, all but one are later copies throughout
     copy = F.row_number().over(Window.partitionBy("key").orderBy("key"))
-    begins = F.sort_array(F.coalesce(F.when(copy > 1, F.col("all")).otherwise(F.col("later")), F.array().cast("array<struct<i:int,span:int>>")))
-    cut = rows.join(starts, "key", "left").select("doc", F.split("t", "\n", -1).alias("lines"), begins.alias("begins"))
-    covered = F.array_distinct(F.flatten(F.transform("begins", lambda x: F.sequence(x.i, x.i + x.span - 1))))
-    cut = cut.withColumn("removed", F.sort_array(covered))
+    cut = rows.join(own, "key", "left").select("doc", F.split("t", "\n", -1).alias("lines"), "own", (copy > 1).alias("again"))
+    every = F.sequence(F.lit(0), F.size("lines") - 1)
+    passages = F.filter(every, lambda i: F.regexp_count(F.get("lines", i), F.lit(WORD)) >= long_words) if long_words is not None else F.array().cast("array<int>")
+    later = F.flatten(F.transform(F.coalesce("own", F.array().cast("array<struct<start:int,stop:int>>")), lambda x: F.sequence(x.start, x.stop - 1)))
+    cut = cut.withColumn("removed", F.when(~F.col("again"), later).when(F.size("lines") >= min_lines, every).otherwise(passages))
     # a run starts at a removed line whose predecessor stays, and stops likewise
     after = F.transform("removed", lambda i: i + 1)
     runs = F.arrays_zip(F.array_except("removed", after).alias("start"), F.array_except(after, "removed").alias("stop"))
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "removed"), lambda i: F.get("lines", i))
+    kept = F.transform(F.array_except(every, "removed"), lambda i: F.get("lines", i))
     return cut.select(F.col("doc").alias(id_col), F.array_join(kept, "\n").alias(text_col), F.size("lines").cast("long").alias("n_lines"), "removed", runs.alias("runs"))
 
 

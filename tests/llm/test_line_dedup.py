@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from quotewell.llm.line_dedup import line_dedup
+from quotewell.llm.line_dedup import later_runs, line_dedup, repeated_windows
 
 
 def expected(rows, n, words=51):
@@ -70,3 +70,12 @@ def test_runs_and_empty(documents):
     assert line_dedup(documents([])).count() == 0
     with pytest.raises(ValueError):
         line_dedup(documents([]), min_lines=0)
+
+
+def test_doubling_goes_on_until_nothing_repeats(documents):
+    """13 lines in common: windows of 8 still repeat, windows of 16 don't; the later copies make one run."""
+    shared = [f"s{k}" for k in range(13)]
+    docs = documents([(1, "\n".join(shared)), (2, "\n".join(["x", *shared, "y"]))])
+    at = repeated_windows(docs)
+    assert sorted((r.doc, r.span, r.i) for r in at.collect()) == sorted((d, h, i + d - 1) for d in (1, 2) for h in (2, 4, 8) for i in range(14 - h))
+    assert [(r.own[0].start, r.own[0].stop) for r in later_runs(at).collect()] == [(1, 14)]
