@@ -4,7 +4,7 @@ Links of near fingerprints (see simhash) come first and join most of a group. Wh
 a text's shingles has HASHES minima, dealt to BANDS bands, and two sets meet in a bucket if all minima of a band agree. At a similarity of 0.8
 two sets miss each other in all bands with a chance of 4e-4, above it with less; at 0.3, as texts with a common frame have, they meet with one of 0.05. Only buckets that hold parts
 of different groups are looked into: their sets come along, similarities are exact, and a spanning forest of the links leaves the task, never all pairs.
-A bucket of more than BLOCK sets is dealt out to blocks, and each pair of blocks is a task's work of its own: no task holds more than two blocks, and no pair is left out.
+Of buckets with the same members (told by their number and hashes) one is looked into. A bucket of more than BLOCK sets is dealt out to blocks, and each pair of blocks is a task's work of its own: no task holds more than two blocks, and no pair is left out.
 
 Cases: texts without words have no shingles and meet by their fingerprint alone; texts shorter than a shingle are one shingle; very long texts are read whole.
 Null ids, repeated rows and empty tables need no rule: rows are known by a digest of id and text.
@@ -129,7 +129,11 @@ def similar_links(rows: DataFrame, placed: DataFrame, *, shingle: int, least: fl
     """rows (key, text), placed (key, root, bands) -> links (a, b) of roots that have texts with a similarity of least or more."""
     spread = placed.select("key", "root", F.explode("bands").alias("band"))
     mark = F.xxhash64("root")
-    shared = spread.groupBy("band").agg(F.min(mark).alias("lo"), F.max(mark).alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("band", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    own = F.xxhash64("key")
+    members = [F.min(mark).alias("lo"), F.max(mark).alias("hi"), F.count("*").alias("n"), F.sum(own.cast("decimal(20,0)")).alias("s"), F.min(own).alias("a"), F.max(own).alias("z")]
+    buckets = spread.groupBy("band").agg(*members).where("lo <> hi")
+    # similar sets meet in several bands: of buckets with the same members one is enough
+    shared = buckets.groupBy("lo", "hi", "n", "s", "a", "z").agg(F.min("band").alias("band")).select("band", F.ceil(F.col("n") / BLOCK).alias("blocks"))
     shared = materialise(shared, "shared-bands")  # written first, so that the adaptive join may split a common band
     mine = F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks"))
     cells = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda k: F.when(F.col("blocks") == 1, F.col("band")).otherwise(F.xxhash64("band", F.least(mine, k), F.greatest(mine, k))))
