@@ -38,6 +38,8 @@ SEARCH_BEAM = 256
 ENTRIES = 32
 #: Nodes that join at once, and queries that walk at once.
 AT_ONCE = 512
+#: Pairs of vectors that are scored at once.
+PAIRS = 65_536
 #: Nodes of each beam that a step expands.
 EXPAND = 4
 
@@ -54,6 +56,10 @@ def _scaled(vectors: np.ndarray) -> np.ndarray:
     return np.ldexp(wide, -np.frexp(np.abs(wide).max(1, keepdims=True))[1])
 
 
+def _squared(vectors: np.ndarray) -> np.ndarray:
+    return np.einsum("...j,...j->...", vectors, vectors)
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of each row of a with that of b, in double precision; components are added in order, so equal vectors score equally."""
     a, b = _scaled(a), _scaled(b)
@@ -72,6 +78,8 @@ class Graph:
         order = np.random.default_rng(7).permutation(len(unit)).astype(np.int32)
         #: Where walks begin: the node nearest to the mean, and some drawn with a fixed seed, as one dense cluster may hold the middle.
         self.entries = np.unique(np.append(order[: ENTRIES - 1], np.argmax(unit @ unit.mean(0)))) if len(unit) else order
+        if edges is not None:
+            self._reach_all()
 
     def build(self) -> Graph:
         """Every node joins, in batches that double up to AT_ONCE; the entries, which know each other, are first, and the order is drawn with a fixed seed."""
@@ -85,13 +93,25 @@ class Graph:
             self.edges[batch] = self._prune(batch, seen)
             self._add_back(batch)
             done += len(batch)
+        self._reach_all()
         return self
 
+    def _reach_all(self) -> None:
+        """Pruning may cut a node off: what no walk from the entries can reach is an entry, too."""
+        reached = np.zeros(len(self.unit), bool)
+        front = self.entries
+        while len(front):
+            reached[front] = True
+            front = np.unique(self.edges[front])
+            front = front[front >= 0]
+            front = front[~reached[front]]
+        self.entries = np.concatenate([self.entries, np.nonzero(~reached)[0].astype(np.int32)])
+
     def walk(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Greedy search for all queries in step. The beam's nodes, nearest first (infinitely far ones fill), their distances, and all nodes expanded on the way."""
         n = len(queries)
         rows = np.arange(n)[:, None]
-        far = 2 - 2 * queries @ self.unit[self.entries].T
+        far = _squared(queries[:, None, :] - self.unit[self.entries])
         order = np.argsort(far, 1, kind="stable")[:, :beam]
         nodes, far = self.entries[order], far[rows, order]
         spent = np.zeros(nodes.shape, bool)
@@ -115,7 +135,7 @@ class Graph:
             held = fresh >= 0
             met[np.broadcast_to(rows, fresh.shape)[held], fresh[held]] = True
             near = np.full(fresh.shape, np.inf, np.float32)
-            near[held] = 2 - 2 * np.einsum("ij,ij->i", queries[np.nonzero(held)[0]], self.unit[fresh[held]])
+            near[held] = _squared(queries[np.nonzero(held)[0]] - self.unit[fresh[held]])
             all_nodes, all_far = np.concatenate([nodes, fresh], 1), np.concatenate([far, near], 1)
             all_spent = np.concatenate([spent, ~held], 1)
             best = np.argsort(all_far, 1, kind="stable")[:, :beam]
@@ -130,12 +150,14 @@ class Graph:
         proposed = np.sort(proposed, 1)
         proposed[:, 1:][proposed[:, 1:] == proposed[:, :-1]] = -1
         proposed[proposed == points[:, None]] = -1
-        vectors = self.unit[proposed]
-        far = np.maximum(2 - 2 * np.einsum("ij,ikj->ik", self.unit[points], vectors), 0)
+        # seen from the point itself: near copies differ by less than single precision tells of whole vectors
+        vectors = self.unit[proposed] - self.unit[points][:, None, :]
+        far = _squared(vectors)
         far[proposed < 0] = np.inf
         order = np.argsort(far, 1, kind="stable")
         proposed, far, vectors = proposed[rows, order], far[rows, order], vectors[rows, order]
-        between = np.maximum(2 - 2 * vectors @ vectors.transpose(0, 2, 1), 0) * np.float32(RELAX**2)
+        square = _squared(vectors)
+        between = (square[:, :, None] + square[:, None, :] - 2 * vectors @ vectors.transpose(0, 2, 1)) * np.float32(RELAX**2)
         alive, kept = np.isfinite(far), np.full((n, DEGREE), -1, np.int32)
         for k in range(DEGREE):
             first = alive.argmax(1)
@@ -165,6 +187,22 @@ class Graph:
                 self.edges[points[part]] = self._prune(points[part], offered[part])
 
 
+def _directions(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of one direction share a place in the graph: the first node of each, in order, and each node's place."""
+    packed = np.ascontiguousarray(unit + np.float32(0)).view(f"V{unit.itemsize * unit.shape[1]}").ravel()
+    _, first, member = np.unique(packed, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    place = np.empty(len(first), np.int32)
+    place[order] = np.arange(len(first))
+    return first[order].astype(np.int32), place[member]
+
+
+def _spread(left: np.ndarray, groups: np.ndarray, items: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of left with every item of its group; group g has items[starts[g]:starts[g + 1]]."""
+    many = starts[groups + 1] - starts[groups]
+    return np.repeat(left, many), items[np.repeat(starts[groups] - np.concatenate([[0], np.cumsum(many)])[:-1], many) + np.arange(many.sum())]
+
+
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
@@ -199,10 +237,13 @@ def build_index(rows: DataFrame, *, id_col: str = "vec_id", vector_col: str = "e
     def build(key: tuple, table: pa.Table) -> pa.Table:
         order = np.argsort(np.array([x[0].as_py() for x in table["ids"]]), kind="stable")
         table = table.take(pa.array(order))
-        graph = Graph(_unit(_matrix(table["vector"], key[0].as_py()))).build()
-        n = len(order)
-        held = graph.edges >= 0
-        edges = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held.sum(1))]).astype(np.int32)), pa.array(graph.edges[held]))
+        unit, n = _unit(_matrix(table["vector"], key[0].as_py())), len(order)
+        first = _directions(unit)[0]
+        edges = np.full((n, DEGREE), -1, np.int32)
+        graph = Graph(unit[first]).build()
+        edges[first] = np.where(graph.edges >= 0, first[graph.edges], -1)
+        held = edges >= 0
+        edges = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(held.sum(1))]).astype(np.int32)), pa.array(edges[held]))
         same = [pa.array(np.full(n, x.as_py(), np.int32)) for x in key]
         return pa.table([*same, pa.array(np.arange(n, dtype=np.int32)), table["ids"], table["vector"], edges], ["length", "shard", "node", "ids", "vector", "edges"])
 
@@ -228,10 +269,14 @@ def search(index: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vect
         counts = lists.value_lengths().to_numpy()
         edges = np.full((len(vectors), DEGREE), -1, np.int32)
         edges[np.arange(DEGREE) < counts[:, None]] = lists.flatten().to_numpy()
-        graph = Graph(_unit(vectors), edges)
+        unit = _unit(vectors)
+        first, member = _directions(unit)
+        at = np.full(len(unit) + 1, -1, np.int32)
+        at[first] = np.arange(len(first))
+        graph = Graph(unit[first], at[edges[first]])
         names, starts = ids.flatten().to_numpy(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())])
         wanted, own = _matrix(asked["vector"], key[0].as_py()), asked["id"].to_numpy()
-        return pa.Table.from_batches(list(_answers(graph, vectors, names, starts, wanted, own, answers, beam)), answer)
+        return pa.Table.from_batches(list(_answers(graph, member, vectors, names, starts, wanted, own, answers, beam)), answer)
 
     found = every.groupBy("length", "shard", "block").cogroup(dealt.groupBy("length", "part", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
@@ -239,18 +284,19 @@ def search(index: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vect
     return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= answers).select("query_id", "rank", "vec_id", "score")
 
 
-def _answers(graph: Graph, vectors: np.ndarray, names: np.ndarray, starts: np.ndarray, wanted: np.ndarray, own: np.ndarray, answers: int, beam: int) -> Iterator[pa.RecordBatch]:
+def _answers(graph: Graph, member: np.ndarray, vectors: np.ndarray, names: np.ndarray, starts: np.ndarray, wanted: np.ndarray, own: np.ndarray, answers: int, beam: int) -> Iterator[pa.RecordBatch]:
     """The best rows of one shard for each query. The nearest nodes by single precision, with some to spare, are scored in double."""
+    by_direction = np.argsort(member, kind="stable")
+    ends = np.concatenate([[0], np.cumsum(np.bincount(member))])
     for at in range(0, len(own), AT_ONCE):
         some, mine = wanted[at : at + AT_ONCE], own[at : at + AT_ONCE]
         nodes = graph.walk(_unit(some), beam)[0][:, : 4 * (answers + 1)]
         query, place = np.nonzero(nodes >= 0)
-        node = nodes[query, place]
-        score = cosines(some[query], vectors[node])
-        # a node stands for the rows with its vector
-        many = starts[node + 1] - starts[node]
-        query, score = np.repeat(query, many), np.repeat(score, many)
-        name = names[np.repeat(starts[node] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())]
+        # a direction stands for its vectors, a vector for the rows that have it
+        query, node = _spread(query, nodes[query, place], by_direction, ends)
+        score = np.concatenate([cosines(some[query[k : k + PAIRS]], vectors[node[k : k + PAIRS]]) for k in range(0, len(node), PAIRS)] or [np.zeros(0)])
+        turn, place = _spread(np.arange(len(node)), node, np.arange(len(names)), starts)
+        query, score, name = query[turn], score[turn], names[place]
         order = np.lexsort((name, -score, query))
         order = order[name[order] != mine[query[order]]]
         nth = np.arange(len(order)) - np.searchsorted(query[order], query[order])

@@ -88,6 +88,16 @@ def test_a_common_vector_does_not_hide_others(spark):
     assert hits / (5 * len(want)) >= 0.97
 
 
+def test_many_vectors_of_one_direction(spark):
+    rng = np.random.default_rng(11)
+    base = np.array([0.3, -0.7, 0.2])
+    rows = [(i, (base * (1 + i)).tolist()) if i % 2 else (i, v.tolist()) for i, v in enumerate(rng.normal(size=(400, 3)).astype(np.float32))]
+    queries = [x for x in rows if x[0] % 25 == 0]
+    got, want = answers(search(build_index(table(spark, rows)), table(spark, queries))), exact(table(spark, rows).select("vec_id", "embedding").collect(), table(spark, queries).select("vec_id", "embedding").collect())
+    for q in want:
+        assert [round(s, 9) for _, s in got[q]] == [round(s, 9) for _, s in want[q]]
+
+
 def test_empty_table(spark):
     index = build_index(table(spark, []))
     assert search(index, table(spark, [(0, [1.0])])).count() == 0
