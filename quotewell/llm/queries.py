@@ -10,6 +10,7 @@ from .licenses import op8_licenses
 from .line_dedup import op6_line_dedup
 from .mixing import op4_mixing
 from .neighbours import op11_neighbours
+from .periodic import op12_periodic_runs
 from .quality import op2_quality
 from .secret_scan import op10_secrets
 from .simhash import op9_simhash
@@ -23,5 +24,5 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op3_bpe, op4_mixing, op5_substring_dedup, op6_line_dedup, op7_exact_dedup, op8_licenses, op9_simhash, op10_secrets, op11_neighbours)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality, op3_bpe, op4_mixing, op5_substring_dedup, op6_line_dedup, op7_exact_dedup, op8_licenses, op9_simhash, op10_secrets, op11_neighbours, op12_periodic_runs)}
 ORACLES = {"op6_line_dedup": line_dedup.SQL, "op7_exact_dedup": exact_dedup.SQL, "op10_secrets": secret_scan.SQL}
