@@ -5,9 +5,9 @@ no overlap and no group goes across, and each distinct chunk of a partition is a
 bytes. An ASOF join gives the B token at which each A token starts, a range join the B tokens that start inside it: together all overlaps. Running sums over
 the places where tokens of both end number the groups.
 
-Two passes. The first counts chunks a partition, joins them with their overlaps, and emits partial counts of id pairs, which Spark adds up. Fewer than HEAVY
-pairs can have more than 1 / HEAVY of all links each; these go to every task, and the second pass scores a document's links by them. The rest, of which none is frequent, goes
-row by row to a join with their counts. So a pair that a third of all links have is never one task's work.
+One pass over the texts counts the chunks of a partition, joins the counts with the chunks' overlaps, and emits partial counts of id pairs, which Spark adds up, beside each
+document's own pairs. Fewer than HEAVY pairs can have more than 1 / HEAVY of all links each; these go to every task, which scores a document's links by them. The
+rest, of which none is frequent, goes row by row to a join with their counts. So a pair that a third of all links have is never one task's work.
 
 Cases: null and empty texts, and texts that either tokenizer's tokens don't give back byte by byte, have no tokens: zeros, and '' for their groups. Special tokens'
 strings are plain text. Texts of any length are whole; one without blanks is one chunk. Repeated rows and ids are told apart; empty tables give none. Other columns
@@ -19,9 +19,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -30,16 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, materialise, to_python
+from .bpe import _CUT, _plain
+from .common import discard, load, materialise, to_python
 
 #: Pairs that every task is sent are fewer than this: 17 bytes each.
 HEAVY = 1 << 20
 #: Chunks that a partition remembers, and their bytes, before it starts anew.
-REMEMBERED, REMEMBERED_BYTES = 200_000, 16 << 20
-#: Rows handled together.
-DOCS_AT_ONCE = 500
-
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+REMEMBERED, REMEMBERED_BYTES = 100_000, 16 << 20
+#: Characters of the texts handled together, unless one has more.
+CHARS_AT_ONCE = 1 << 20
 
 PAIRS = """
 SELECT chunk, a * {b_ids} + b AS pair, count(*)::BIGINT AS n FROM (
@@ -49,14 +48,14 @@ SELECT chunk, a * {b_ids} + b AS pair, count(*)::BIGINT AS n FROM (
 GROUP BY ALL
 """
 
+#: Every token with its group's number: at the end of a group, its own end counts for the next.
 GROUPS = """
 WITH ends AS (SELECT a.e FROM a SEMI JOIN b ON b.e = a.e),
 numbered AS (
-    SELECT chunk, side, s, id, coalesce(sum((ends.e IS NOT NULL)::INTEGER) OVER (PARTITION BY side ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part
-    FROM (SELECT *, 'a' AS side FROM a UNION ALL SELECT *, 'b' FROM b) t LEFT JOIN ends ON ends.e = t.e),
-sides AS (SELECT chunk, part, side, string_agg(id::VARCHAR, ',' ORDER BY s) AS ids FROM numbered GROUP BY ALL)
-SELECT chunk, count(*)::BIGINT AS n_groups, string_agg(l.ids || '|' || r.ids, ';' ORDER BY part) AS groups
-FROM (FROM sides WHERE side = 'a') l JOIN (FROM sides WHERE side = 'b') r USING (chunk, part) GROUP BY chunk
+    SELECT chunk, 0 AS side, s, id, sum((ends.e IS NOT NULL)::INTEGER) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) - (ends.e IS NOT NULL)::INTEGER AS part FROM a LEFT JOIN ends ON ends.e = a.e
+    UNION ALL
+    SELECT chunk, 1, s, id, sum((ends.e IS NOT NULL)::INTEGER) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) - (ends.e IS NOT NULL)::INTEGER FROM b LEFT JOIN ends ON ends.e = b.e)
+SELECT chunk, side, id, part::BIGINT AS part FROM numbered ORDER BY part, side, s
 """
 
 
@@ -97,56 +96,73 @@ class Pair:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        self.a_flat, self.b_flat = (np.frombuffer(b"".join(x), np.uint8) for x in (self.a_bytes, self.b_bytes))
         how = json.loads(given.a_json)
         split = how.get("pre_tokenizer") or {}
         self.cuts = how.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not any(re.search("[^▁]▁", p) for p in pieces)
 
-    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
-        """A's ids of blank + chunk, B's of chunk, and whether both give back the bytes of blank + chunk."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
-        b = self.b.encode(chunks, num_threads=1)
-        join = lambda table, ids: b"".join(map(table.__getitem__, ids))
-        return a, b, [c != "" and join(self.a_bytes, x) == (want := (" " + c).encode()) and join(self.b_bytes, y) == want for c, x, y in zip(chunks, a, b, strict=True)]
+    def encode(self, chunks: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """(ids, tokens of each chunk) by A, of blank + chunk, and by B, of chunk; and which chunks both give back, byte by byte."""
+        both = [[e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)], self.b.encode(chunks, num_threads=1)]
+        want = [(" " + c).encode() for c in chunks]
+        length = np.array(list(map(len, want)), np.int64)
+        good, out = length > 1, []
+        for lists, size, flat in zip(both, (self.a_size, self.b_size), (self.a_flat, self.b_flat), strict=True):
+            count = np.array(list(map(len, lists)), np.int64)
+            ids = np.fromiter(chain.from_iterable(lists), np.int64, int(count.sum()))
+            owner = np.repeat(np.arange(len(chunks)), count)
+            good &= np.bincount(owner, size[ids], len(chunks)).astype(np.int64) == length
+            # the bytes, of chunks whose length is right
+            here = good[owner]
+            some, wide = ids[here], size[ids[here]]
+            said = flat[np.repeat((np.cumsum(size) - size)[some] - (np.cumsum(wide) - wide), wide) + np.arange(wide.sum())]
+            differ = np.nonzero(said != np.frombuffer(b"".join([w for w, ok in zip(want, good.tolist(), strict=True) if ok]), np.uint8))[0]
+            good[np.nonzero(good)[0][np.searchsorted(np.cumsum(length[good]), differ, side="right")]] = False
+            out.append((ids, count))
+        return out, good
 
 
 class Aligner:
-    """Aligned chunks of one partition. Chunk k has row k of `sizes` (A tokens, B tokens, groups, links), groups[k], and rows of the table chunk_pairs."""
+    """Aligned chunks of one partition. Chunk k has row k of `sizes` (A tokens, B tokens, groups, links), groups[k], and the pairs from links[k] to links[k + 1]."""
 
     def __init__(self, given: Tokenizers) -> None:
         self.pair = Pair(given)
         self.b_ids = len(self.pair.b_bytes)
+        decimal = [str(i) for i in range(max(len(self.pair.a_bytes), self.b_ids))]
+        #: Decimal ids with what may follow: another of the side, the other side, another group, another chunk.
+        self.said = np.array([[d + after for d in decimal] for after in ",|;\n"], object)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "temp_directory": ""})
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.good: list[bool] = []
+        self.good = np.zeros(0, bool)
         self.groups: list[str] = []
         self.sizes = np.zeros((0, 4), np.int64)
+        self.links, self.pair_ids, self.pair_times = np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.held = 0
-        self.db.execute("CREATE OR REPLACE TABLE chunk_pairs (chunk BIGINT, pair BIGINT, n BIGINT)")
 
     @property
     def full(self) -> bool:
         return len(self.place) > REMEMBERED or self.held > REMEMBERED_BYTES
 
-    def chunks(self, texts: list[str]) -> list[np.ndarray]:
-        """The places of each text's chunks; of texts without tokens none."""
-        cut = [_CUT.split(t) if self.pair.cuts else [t] for t in texts]
-        self._add({c for own in cut for c in own})
-        out, whole = [], []
-        for k, own in enumerate(cut):
-            places = np.array(list(map(self.place.__getitem__, own)), np.int64)
-            good = all(map(self.good.__getitem__, places))
-            out.append(places if good else places[:0])
-            if not good and len(own) > 1:
-                whole.append(k)
+    def chunks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all texts' chunks, and how many each text has; texts without tokens have none."""
+        cut = [[t] if not self.pair.cuts else t.split(" ") if _plain(t) else _CUT.split(t) for t in texts]
+        self._add(set(chain.from_iterable(cut)))
+        count = np.array(list(map(len, cut)), np.int64)
+        places = np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, int(count.sum()))
+        good = np.logical_and.reduceat(self.good[places], np.cumsum(count) - count) if len(texts) else np.zeros(0, bool)
         # chunks that differ may still make up the text's bytes together: then it is one chunk
+        whole = np.nonzero(~good & (count > 1))[0].tolist()
         self._add({texts[k] for k in whole})
+        own = np.split(places, np.cumsum(count)[:-1])
+        for k in np.nonzero(~good)[0].tolist():
+            own[k] = own[k][:0]
         for k in whole:
             if self.good[at := self.place[texts[k]]]:
-                out[k] = np.array([at], np.int64)
-        return out
+                own[k] = np.array([at], np.int64)
+        return np.concatenate([*own, np.zeros(0, np.int64)]), np.array(list(map(len, own)), np.int64)
 
     def _add(self, chunks: set[str]) -> None:
         new = [c for c in chunks if c not in self.place]
@@ -154,147 +170,156 @@ class Aligner:
             return
         first = len(self.place)
         self.place.update(zip(new, range(first, first + len(new))))
-        a, b, good = self.pair.encode(new)
-        self.good += good
+        sides, good = self.pair.encode(new)
         sizes = np.zeros((len(new), 4), np.int64)
-        groups = [""] * len(new)
-        lengths = np.array([len(c.encode()) + 1 if ok else 0 for c, ok in zip(new, good, strict=True)], np.int64)
-        starts = np.cumsum(lengths) - lengths
-        for side, (name, ids, size) in enumerate((("a", a, self.pair.a_size), ("b", b, self.pair.b_size))):
-            ids = [x if ok else [] for x, ok in zip(ids, good, strict=True)]
-            sizes[:, side] = counts = np.array(list(map(len, ids)))
-            flat = np.array([i for x in ids for i in x], np.int64)
-            ends = np.cumsum(size[flat])
-            self.db.register("incoming", pa.table({"chunk": np.repeat(np.arange(len(new)), counts), "id": flat, "s": ends - size[flat], "e": ends}))
+        for side, (name, (ids, count), size) in enumerate(zip("ab", sides, (self.pair.a_size, self.pair.b_size), strict=True)):
+            owner = np.repeat(np.arange(len(new)), count)
+            owner, ids = owner[good[owner]], ids[good[owner]]
+            sizes[:, side] = np.where(good, count, 0)
+            ends = np.cumsum(size[ids])
+            self.db.register("incoming", pa.table({"chunk": owner, "id": ids, "s": ends - size[ids], "e": ends}))
             self.db.execute(f"CREATE OR REPLACE TABLE {name} AS FROM incoming")
-        assert not len(starts) or starts[-1] + lengths[-1] == (ends[-1] if len(ends) else 0)
-        self.db.execute(f"CREATE OR REPLACE TABLE fresh AS {PAIRS.format(b_ids=self.b_ids)}")
-        got = self.db.execute("SELECT chunk, sum(n)::BIGINT AS n FROM fresh GROUP BY chunk").fetchnumpy()
-        sizes[got["chunk"], 3] = got["n"]
-        got = self.db.execute(GROUPS).to_arrow_table()
-        sizes[got["chunk"].to_numpy(), 2] = got["n_groups"].to_numpy()
-        for k, text in zip(got["chunk"].to_pylist(), got["groups"].to_pylist(), strict=True):
-            groups[k] = text
+            self.db.unregister("incoming")
+        chunk, pair, n = self.db.execute(PAIRS.format(b_ids=self.b_ids)).fetchnumpy().values()
+        sizes[:, 3] = np.bincount(chunk, n, len(new))
+        self.links = np.concatenate([self.links, self.links[-1] + np.cumsum(np.bincount(chunk, minlength=len(new)))])
+        order = np.argsort(chunk, kind="stable")
+        self.pair_ids, self.pair_times = np.concatenate([self.pair_ids, pair[order]]), np.concatenate([self.pair_times, n[order]])
+        groups = [""] * len(new)
+        chunk, side, ids, part = self.db.execute(GROUPS).fetchnumpy().values()
+        if len(chunk):
+            sizes[:, 2] = np.bincount(chunk[np.append(True, part[1:] != part[:-1])], minlength=len(new))
+            after = np.where(chunk[1:] != chunk[:-1], 3, np.where(part[1:] != part[:-1], 2, np.where(side[1:] != side[:-1], 1, 0)))
+            texts = "".join(self.said[np.append(after, 3), ids].tolist()).split("\n")
+            for k, text in zip(chunk[np.append(after == 3, True)].tolist(), texts[:-1], strict=True):
+                groups[k] = text
+        self.good = np.concatenate([self.good, good])
         self.groups += groups
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.held += int(lengths.sum()) + sum(map(len, groups))
-        self.db.execute(f"INSERT INTO chunk_pairs SELECT chunk + {first}, pair, n FROM fresh")
-
-    def pairs(self, chunks: np.ndarray, times: np.ndarray) -> pa.Table:
-        """pair, n: the links of chunks, each so many times."""
-        self.db.register("seen", pa.table({"chunk": chunks, "times": times}))
-        return self.db.execute("SELECT pair, sum(n * times)::BIGINT AS n FROM chunk_pairs JOIN seen USING (chunk) GROUP BY pair").to_arrow_table()
-
-    def pairs_since(self, first: int) -> pa.Table:
-        return self.db.execute("SELECT chunk, pair, n FROM chunk_pairs WHERE chunk >= ? ORDER BY chunk", [first]).to_arrow_table()
-
-
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+        self.held += sum(map(len, groups)) + sum(map(len, new))
+
+    def pairs_of(self, places: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(owner, pair, links) of chunks: an owner's equal pairs are added up."""
+        many = self.links[places + 1] - self.links[places]
+        at = np.repeat(self.links[places] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        owner, pair, n = np.repeat(owner, many), self.pair_ids[at], self.pair_times[at]
+        order = np.lexsort((pair, owner))
+        owner, pair, n = owner[order], pair[order], n[order]
+        if not len(order):
+            return owner, pair, n
+        first = np.nonzero(np.append(True, (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])))[0]
+        return owner[first], pair[first], np.add.reduceat(n, first)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
     for batch in batches:
-        for at in range(0, batch.num_rows, DOCS_AT_ONCE):
-            part = batch.slice(at, DOCS_AT_ONCE)
-            yield part, [t or "" for t in part["text"].to_pylist()]
+        texts = [t or "" for t in batch["text"].to_pylist()]
+        first = size = 0
+        for k, t in enumerate(texts):
+            size += len(t)
+            if size >= CHARS_AT_ONCE or k + 1 == len(texts):
+                yield batch["id"].slice(first, k + 1 - first), texts[first : k + 1]
+                first, size = k + 1, 0
 
 
-def pair_counts(docs: DataFrame, given: Tokenizers, *, text_col: str = "text") -> DataFrame:
-    """pair (A id times B's number of ids, plus B id), b, total (links of all documents that hold it), best (no other pair of its B id has more)."""
-    sent = docs.sparkSession.sparkContext.broadcast(given)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, seen = Aligner(sent.value), Counter()
+def _lists(owner: np.ndarray, owners: int, *columns: np.ndarray) -> list[pa.Array]:
+    offsets = pa.array(np.searchsorted(owner, np.arange(owners + 1)).astype(np.int32))
+    return [pa.ListArray.from_arrays(offsets, pa.array(c)) for c in columns]
 
-        def told() -> pa.RecordBatch:
-            some = aligner.pairs(np.array(list(seen), np.int64), np.array(list(seen.values()), np.int64)).combine_chunks()
-            return pa.RecordBatch.from_arrays([pa.array(some["pair"].to_numpy(), pa.int64()), pa.array(some["n"].to_numpy(), pa.int64())], ["pair", "n"])
 
-        for _, texts in _slices(batches):
-            seen.update(np.concatenate([*aligner.chunks(texts), np.zeros(0, np.int64)]).tolist())
+def aligned_rows(docs: DataFrame, given: Tokenizers, *, id_col: str, text_col: str, digest: bool) -> DataFrame:
+    """Rows of documents (key, id, n_a, n_b, n_groups, n_links, groups, pairs, times) and, with a null key, of partial counts (pairs, times)."""
+    sent = docs.sparkSession.sparkContext.broadcast(given)
+    kind = docs.schema[id_col].dataType
+    names = ["key", "id", *NUMBERS, "groups", "pairs", "times"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        aligner, seen, key = Aligner(sent.value), np.zeros(0, np.int64), TaskContext.get().partitionId() << 33
+        ids_of = pa.null()
+
+        def counted() -> pa.RecordBatch:
+            places = np.nonzero(seen)[0]
+            db = aligner.db
+            many = aligner.links[1:] - aligner.links[:-1]
+            db.register("met", pa.table({"chunk": places, "times": seen[places]}))
+            db.register("chunk_pairs", pa.table({"chunk": np.repeat(np.arange(len(many)), many), "pair": aligner.pair_ids, "n": aligner.pair_times}))
+            pair, n = db.execute("SELECT pair, sum(n * times)::BIGINT AS n FROM chunk_pairs JOIN met USING (chunk) GROUP BY pair").fetchnumpy().values()
+            empty = [pa.nulls(1, pa.int64()), pa.nulls(1, ids_of), *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.string())]
+            return pa.RecordBatch.from_arrays([*empty, *_lists(np.zeros(len(pair), np.int64), 1, pair, n)], names)
+
+        for ids, texts in _slices(batches):
+            ids_of = ids.type
+            places, count = aligner.chunks(texts)
+            seen = np.concatenate([seen, np.zeros(len(aligner.groups) - len(seen), np.int64)]) + np.bincount(places, minlength=len(aligner.groups))
+            sums = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(aligner.sizes[places], 0)])
+            ends = np.cumsum(count)
+            sums = sums[ends] - sums[ends - count]
+            text = [";".join(map(aligner.groups.__getitem__, own.tolist())) for own in np.split(places, ends[:-1])]
+            if digest:
+                text = [t and hashlib.sha256(t.encode()).hexdigest() for t in text]
+            owner, pair, n = aligner.pairs_of(places, np.repeat(np.arange(len(texts)), count))
+            keys = pa.array(np.arange(key, key + len(texts)))
+            key += len(texts)
+            yield pa.RecordBatch.from_arrays([keys, ids, *map(pa.array, sums.T), pa.array(text, pa.string()), *_lists(owner, len(texts), pair, n)], names)
             if aligner.full:
-                yield told()
+                yield counted()
                 aligner.forget()
-                seen.clear()
-        yield told()
+                seen = seen[:0]
+        if len(seen):
+            yield counted()
 
-    texts = to_python(docs.select(F.col(text_col).cast("string").alias("text")))
+    rows = to_python(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")))
+    schema = f"key long, id {kind.simpleString()}, {', '.join(f'{c} long' for c in NUMBERS)}, groups string, pairs array<long>, times array<long>"
+    return rows.mapInArrow(run, schema)
+
+
+def pair_counts(aligned: DataFrame, given: Tokenizers) -> DataFrame:
+    """pair (A id times B's number of ids, plus B id), b, total (links of all documents that hold it), best (no other pair of its B id has more)."""
     b_ids = len(Pair(given).b_bytes)
-    totals = texts.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("total")).withColumn("b", F.col("pair") % b_ids)
-    totals = materialise(totals, "pair-totals")
+    partial = aligned.where("key IS NULL").select(F.explode(F.arrays_zip("pairs", "times")).alias("x")).select(F.col("x.pairs").alias("pair"), F.col("x.times").alias("n"))
+    totals = materialise(partial.groupBy("pair").agg(F.sum("n").alias("total")).withColumn("b", F.col("pair") % b_ids), "pair-totals")
     most = totals.groupBy("b").agg(F.max("total").alias("most"))  # a row a B id
-    return materialise(totals.join(F.broadcast(most), "b").select("pair", "b", "total", (F.col("total") == F.col("most")).alias("best")), "pairs")
+    return totals.join(F.broadcast(most), "b").select("pair", "b", "total", (F.col("total") == F.col("most")).alias("best"))
 
 
 def align(docs: DataFrame, given: Tokenizers, *, id_col: str = "doc_id", text_col: str = "text", digest: bool = False, heavy: int = HEAVY) -> DataFrame:
     """id_col, n_a, n_b, n_groups, n_links, n_best, count_sum, groups (decimal ids, `a1,a2|b1;a3|b2,b3`) or groups_sha256 of every whole text."""
-    counts = pair_counts(docs, given, text_col=text_col)
+    aligned = materialise(aligned_rows(docs, given, id_col=id_col, text_col=text_col, digest=digest), "aligned")
+    counts = materialise(pair_counts(aligned, given), "pairs")
     links = counts.agg(F.sum("total")).first()[0] or 0
     # fewer than `heavy` pairs can have more than links / heavy each
-    frequent = counts.where(F.col("total") > links // heavy).select("pair", "total", "best").toArrow().sort_by("pair")
-    context = docs.sparkSession.sparkContext
-    sent = context.broadcast((given, frequent["pair"].to_numpy(), frequent["total"].to_numpy(), frequent["best"].to_numpy(zero_copy_only=False).astype(np.int64)))
-    named = "groups_sha256" if digest else "groups"
-    kind = docs.schema[id_col].dataType.simpleString()
+    frequent = counts.where(F.col("total") > links // heavy).select("pair", "total", F.col("best").cast("long")).toArrow().sort_by("pair")
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(frequent[c].to_numpy() for c in ("pair", "total", "best")))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        given, pairs, totals, best = sent.value
-        aligner = Aligner(given)
-        scores, rare, key = _scored(aligner, 0, pairs, totals, best, np.zeros((0, 2), np.int64), {}), {}, TaskContext.get().partitionId() << 33
-        for part, texts in _slices(batches):
-            before = len(scores)
-            chunks = aligner.chunks(texts)
-            scores = _scored(aligner, before, pairs, totals, best, scores, rare)
-            ends = np.cumsum([0, *map(len, chunks)])
-            flat = np.concatenate([*chunks, np.zeros(0, np.int64)])
-            sums = np.concatenate([np.zeros((1, 6), np.int64), np.cumsum(np.concatenate([aligner.sizes[flat], scores[flat]], 1), 0)])
-            sums = sums[ends[1:]] - sums[ends[:-1]]
-            text = [";".join(map(aligner.groups.__getitem__, own)) for own in chunks]
-            if digest:
-                text = [t and hashlib.sha256(t.encode()).hexdigest() for t in text]
-            left_pair, left_n, lengths = [], [], []
-            for own in chunks:
-                some = Counter()
-                for c in own:
-                    if c in rare:
-                        for p, n in rare[c]:
-                            some[p] += n
-                left_pair += some
-                left_n += some.values()
-                lengths.append(len(some))
-            offsets = pa.array(np.cumsum([0, *lengths]).astype(np.int32))
-            left = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (left_pair, left_n)]
-            keys = pa.array(np.arange(key, key + len(texts)))
-            key += len(texts)
-            yield pa.RecordBatch.from_arrays([keys, part["id"], *map(pa.array, sums.T), pa.array(text, pa.string()), *left], ["key", "id", *NUMBERS, named, "rare", "times"])
-            if aligner.full:
-                aligner.forget()
-                scores, rare = scores[:0], {}
+        known, total, best = sent.value
+        for batch in batches:
+            lists = batch["pairs"]
+            owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            pair, n = lists.flatten().to_numpy(), batch["times"].flatten().to_numpy()
+            at = np.searchsorted(known, pair)
+            here = at < len(known)
+            here[here] = known[at[here]] == pair[here]
+            sums = []
+            for per_link in (best, total):
+                running = np.concatenate([[0], np.cumsum(per_link[at[here]] * n[here])])
+                ends = np.searchsorted(owner[here], np.arange(batch.num_rows + 1))
+                sums.append(pa.array(running[ends[1:]] - running[ends[:-1]]))
+            rare = _lists(owner[~here], batch.num_rows, pair[~here], n[~here])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("key", "id", *NUMBERS, "groups")), *sums, *rare], ["key", "id", *NUMBERS, "groups", "n_best", "count_sum", "rare", "times"])
 
-    rows = to_python(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")))
-    schema = f"key long, id {kind}, {', '.join(f'{c} long' for c in NUMBERS)}, {named} string, rare array<long>, times array<long>"
-    scored = materialise(rows.mapInArrow(score, schema), "aligned")
+    kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"key long, id {kind}, {', '.join(f'{c} long' for c in NUMBERS)}, groups string, n_best long, count_sum long, rare array<long>, times array<long>"
+    scored = materialise(to_python(aligned.where("key IS NOT NULL")).mapInArrow(score, schema), "scored")
+    discard(aligned)
     loose = scored.select("key", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("key", F.col("x.rare").alias("pair"), F.col("x.times").alias("times"))
     more = loose.join(counts, "pair").groupBy("key").agg(F.sum(F.col("best").cast("long") * F.col("times")).alias("more_best"), F.sum(F.col("total") * F.col("times")).alias("more_sum"))
     plus = lambda a, b: (F.col(a) + F.coalesce(F.col(b), F.lit(0))).alias(a)
-    return scored.join(more, "key", "left").select(F.col("id").alias(id_col), *NUMBERS[:4], plus("n_best", "more_best"), plus("count_sum", "more_sum"), named)
-
-
-NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-
-
-def _scored(aligner: Aligner, first: int, pairs: np.ndarray, totals: np.ndarray, best: np.ndarray, scores: np.ndarray, rare: dict[int, list[tuple[int, int]]]) -> np.ndarray:
-    """scores (links that are best, sum of counts), with those of the chunks from `first` on; their pairs that are not frequent go to `rare`."""
-    new = aligner.pairs_since(first)
-    chunk, pair, n = (new[c].to_numpy() for c in ("chunk", "pair", "n"))
-    at = np.searchsorted(pairs, pair)
-    known = at < len(pairs)
-    known[known] = pairs[at[known]] == pair[known]
-    at = np.where(known, at, 0)
-    out = np.zeros((len(aligner.groups) - first, 2), np.int64)
-    if known.any():
-        np.add.at(out[:, 0], chunk[known] - first, (best[at] * n)[known])
-        np.add.at(out[:, 1], chunk[known] - first, (totals[at] * n)[known])
-    for c, p, m in zip(chunk[~known].tolist(), pair[~known].tolist(), n[~known].tolist(), strict=True):
-        rare.setdefault(c, []).append((p, m))
-    return np.concatenate([scores, out])
+    named = "groups_sha256" if digest else "groups"
+    return scored.join(more, "key", "left").select(F.col("id").alias(id_col), *NUMBERS, plus("n_best", "more_best"), plus("count_sum", "more_sum"), F.col("groups").alias(named))
+
+
+NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 def production() -> Tokenizers:

@@ -2,10 +2,11 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from quotewell.llm import token_align
-from quotewell.llm.token_align import Aligner, Pair, align, op13_token_align, pair_counts, production
+from quotewell.llm.token_align import Aligner, Pair, align, aligned_rows, op13_token_align, pair_counts, production
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
@@ -69,7 +70,7 @@ ODD = ["<|endoftext|> and <s> </s> <unk>", "two  blanks", " lead", "trail ", "a\
 
 def test_odd_texts_rare_pairs_and_caches(spark, given, documents, monkeypatch):
     monkeypatch.setattr(token_align, "REMEMBERED", 20)
-    monkeypatch.setattr(token_align, "DOCS_AT_ONCE", 4)
+    monkeypatch.setattr(token_align, "CHARS_AT_ONCE", 1000)
     rng = random.Random(2)
     words = "the of Quantum zebras analyse überall naïvely 12345 foo-bar http://x.y/z?q=1 ... MÜNCHEN straße ok\n end.".split(" ")
     texts = [*ODD, None, "", *[" ".join(rng.choice(words) for _ in range(40)) for _ in range(20)]]
@@ -84,7 +85,8 @@ def test_pair_counts(given, documents):
     texts = ["the zebras ok", "the the end", None]
     total = brute(given, texts)[1]
     n = len(Pair(given).b_bytes)
-    got = {(r.pair // n, r.b): r.total for r in pair_counts(documents(list(enumerate(texts))), given).collect()}
+    rows = aligned_rows(documents(list(enumerate(texts))), given, id_col="doc_id", text_col="text", digest=False)
+    got = {(r.pair // n, r.b): r.total for r in pair_counts(rows, given).collect()}
     assert got == dict(total)
 
 
@@ -101,7 +103,8 @@ def test_cut_texts_have_the_ids_of_whole_ones(spark, given):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect() if r.text] + ODD
     aligner = Aligner(given)
     assert aligner.pair.cuts
-    for text, own in zip(texts, aligner.chunks(texts), strict=True):
+    places, count = aligner.chunks(texts)
+    for text, own in zip(texts, np.split(places, np.cumsum(count)[:-1]), strict=True):
         if len(own):
             sides = [g.split("|") for c in own for g in aligner.groups[c].split(";")]
             assert [int(i) for x, _ in sides for i in x.split(",")] == aligner.pair.a.encode(" " + text, add_special_tokens=False).ids
