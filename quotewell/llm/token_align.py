@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,9 +37,9 @@ from .common import discard, load, materialise, to_python
 #: Pairs that every task is sent are fewer than this: 17 bytes each.
 HEAVY = 1 << 20
 #: Chunks that a partition remembers, and their bytes, before it starts anew.
-REMEMBERED, REMEMBERED_BYTES = 100_000, 16 << 20
+REMEMBERED, REMEMBERED_BYTES = 80_000, 12 << 20
 #: Characters of the texts handled together, unless one has more.
-CHARS_AT_ONCE = 1 << 20
+CHARS_AT_ONCE = 1 << 18
 
 PAIRS = """
 SELECT chunk, a * {b_ids} + b AS pair, count(*)::BIGINT AS n FROM (
@@ -83,6 +84,7 @@ class Pair:
     """Both tokenizers, and the bytes of their ids."""
 
     def __init__(self, given: Tokenizers) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
