@@ -34,10 +34,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     named = docs.select("doc_id", key.alias("key")).distinct().join(grouped, "key")
     lowest = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "near_n")).alias("low"))
     kept = materialise(lowest.select(F.col("low.key").alias("near_key"), "low.near_n"), "kept")
-    rows = docs.join(kept, key == kept.near_key)
+    rows = docs.select(F.struct(*(docs[x] for x in docs.columns)).alias("row"), key.alias("near_key")).join(kept, "near_key")  # a struct, as documents may have columns of these names
     if kept.where("near_n > 1").isEmpty():
-        return rows.select(docs.columns)
-    return rows.where("near_n = 1").unionByName(rows.where("near_n > 1").dropDuplicates(["near_key"])).select(docs.columns)
+        return rows.select("row.*")
+    return rows.where("near_n = 1").unionByName(rows.where("near_n > 1").dropDuplicates(["near_key"])).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
