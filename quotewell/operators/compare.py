@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotewell.functions.exprs import LISTED, by_security, c, gap_days, number_of, share
+from quotewell.operators.quantiles import with_quantiles
 from quotewell.plans.warehouse import VIEWS, Warehouse, view
 
 #: Rounding noise in a return; a real disagreement; days a return may span; rows a new security may move freely.
@@ -169,10 +170,11 @@ def relative() -> Column:
 @query
 def cmp_level_by_year(w: Warehouse) -> DataFrame:
     rows = w.aligned.where("feed > 0").withColumn("off", relative())
-    return rows.groupBy(F.year("date").alias("year")).agg(
-        F.count("*").alias("n"), share(number_of(apart("vendor", "feed") <= 0.01, "x"), F.count("*"), 2).alias("close_within_1c_pct"), share(number_of(c("off") <= 0.001, "x"), F.count("*"), 2).alias("close_within_10bp_pct"),
-        pct(F.median("off"), 5).alias("median_rel_diff_pct"), pct(F.percentile("off", 0.95), 3).alias("p95_rel_diff_pct"),
+    got = with_quantiles(
+        rows, {"year": F.year("date")}, {"median_off": (c("off"), 0.5), "p95_off": (c("off"), 0.95)}, F.count("*").alias("n"),
+        share(number_of(apart("vendor", "feed") <= 0.01, "x"), F.count("*"), 2).alias("close_within_1c_pct"), share(number_of(c("off") <= 0.001, "x"), F.count("*"), 2).alias("close_within_10bp_pct"),
     )
+    return got.select("year", "n", "close_within_1c_pct", "close_within_10bp_pct", pct("median_off", 5).alias("median_rel_diff_pct"), pct("p95_off", 3).alias("p95_rel_diff_pct"))
 
 
 @query
@@ -195,11 +197,12 @@ def cmp_return_agreement(w: Warehouse) -> DataFrame:
 
 @query
 def cmp_disagreement_causes(w: Warehouse) -> DataFrame:
-    size = lambda x: pct(F.median(F.abs(x)))
-    return w.disagreements.groupBy("cause").agg(
-        F.count("*").alias("days"), F.countDistinct("stock_id").alias("securities"), size("r_raw").alias("median_abs_raw_return_pct"), size("r_vendor").alias("median_abs_vendor_return_pct"),
-        size("r_feed").alias("median_abs_feed_return_pct"), number_of(beyond("r_vendor"), "vendor_beyond_limit"), number_of(beyond("r_feed"), "feed_beyond_limit"),
+    sources = ("raw", "vendor", "feed")
+    got = with_quantiles(
+        w.disagreements, {"cause": c("cause")}, {f"m_{x}": (F.abs(f"r_{x}"), 0.5) for x in sources},
+        F.count("*").alias("days"), F.countDistinct("stock_id").alias("securities"), number_of(beyond("r_vendor"), "vendor_beyond_limit"), number_of(beyond("r_feed"), "feed_beyond_limit"),
     )
+    return got.select("cause", "days", "securities", *(pct(f"m_{x}").alias(f"median_abs_{x}_return_pct") for x in sources), "vendor_beyond_limit", "feed_beyond_limit")
 
 
 @query
@@ -357,11 +360,11 @@ def cmp_activity_by_year(w: Warehouse) -> DataFrame:
 @query
 def cmp_volume_mismatch_shape(w: Warehouse) -> DataFrame:
     ratio = F.try_divide(c("feed_vol"), c("vendor_vol"))
-    at = lambda q, name: F.round(F.percentile(ratio, q), 4).alias(name)
     period = F.when(c("date") < F.lit("2004-02-11").cast("date"), "before 2004-02-11").otherwise("from 2004-02-11")
-    return w.aligned.where(apart("vendor_vol", "feed_vol") > 1000).groupBy(period.alias("period")).agg(
-        F.count("*").alias("mismatched_rows"), share(number_of(c("feed_vol") > c("vendor_vol"), "x"), F.count("*"), 2).alias("feed_larger_pct"), at(0.25, "ratio_p25"), at(0.5, "ratio_median"), at(0.75, "ratio_p75")
-    )
+    quartiles = {"ratio_p25": (ratio, 0.25), "ratio_median": (ratio, 0.5), "ratio_p75": (ratio, 0.75)}
+    larger = share(number_of(c("feed_vol") > c("vendor_vol"), "x"), F.count("*"), 2).alias("feed_larger_pct")
+    got = with_quantiles(w.aligned.where(apart("vendor_vol", "feed_vol") > 1000), {"period": period}, quartiles, F.count("*").alias("mismatched_rows"), larger)
+    return got.select("period", "mismatched_rows", "feed_larger_pct", *(F.round(x, 4).alias(x) for x in quartiles))
 
 
 @query

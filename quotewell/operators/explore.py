@@ -11,6 +11,7 @@ from quotewell.functions.exprs import by_security, c, number_of, share
 from quotewell.operators.between import Day, between
 from quotewell.operators.compare import KEY, apart
 from quotewell.operators.vendor_views import newest_day
+from quotewell.operators.quantiles import with_quantiles
 from quotewell.plans.warehouse import Warehouse
 
 ADJUSTED, RAW = "adjusted", "raw"
@@ -127,10 +128,12 @@ def level_metrics(w: Warehouse) -> DataFrame:
     """A row for each of open, high, low, close: how far the sources are apart. One scan: prices are unpivoted, not read four times."""
     pairs = F.explode(F.array(*(F.struct(F.lit(x).alias("price"), c(f"vendor_{x}").alias("a"), c(f"feed_{x}").alias("b")) for x in LEVELS)))
     rows = overlap(w).select(pairs.alias("p")).select("p.*").withColumn("off", F.abs(c("a") - c("b")))
-    return rows.groupBy("price").agg(
+    got = with_quantiles(
+        rows, {"price": c("price")}, {"p999": (c("off"), 0.999)},
         F.count("*").alias("n"), number_of(c("a") == c("b"), "exact_equal"), share(number_of(c("a") == c("b"), "x"), F.count("*"), 4).alias("exact_pct"), share(number_of(c("off") <= 0.01, "x"), F.count("*"), 4).alias("within_1c_pct"),
-        F.round(F.percentile("off", 0.999), 6).alias("p999_off"), F.round(F.max("off"), 6).alias("largest_off"),
+        F.round(F.max("off"), 6).alias("largest_off"),
     )
+    return got.select("price", "n", "exact_equal", "exact_pct", "within_1c_pct", F.round("p999", 6).alias("p999_off"), "largest_off")
 
 
 def rowwise_agreement(w: Warehouse) -> DataFrame:
