@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quotewell.functions.exprs import LISTED, by_security, c, gap_days, number_of, share
 from quotewell.operators.quantiles import with_quantiles
+from quotewell.operators.vendor_views import newest_day
 from quotewell.plans.warehouse import VIEWS, Warehouse, view
 
 #: Rounding noise in a return; a real disagreement; days a return may span; rows a new security may move freely.
@@ -150,7 +151,7 @@ def cmp_universe_overlap(w: Warehouse) -> DataFrame:
 def cmp_coverage_by_year(w: Warehouse) -> DataFrame:
     unadjusted = w.feed_v_daily_prices.select(*KEY, c("stock_id").alias("raw_id"))
     adjusted = w.feed_v_adj_daily_prices.select(*KEY, c("stock_id").alias("adj_id"))
-    newest = F.broadcast(w.feed_v_daily_prices.agg(F.max("date").alias("newest")))
+    newest = newest_day(w, "feed_bars")
     rows = w.vendor_v_adj_daily_prices.where(listed()).select(*KEY).crossJoin(newest).where("date <= newest").join(unadjusted, KEY, "left").join(adjusted, KEY, "left")
     return rows.groupBy(F.year("date").alias("year")).agg(
         F.count("*").alias("vendor_listed_rows"), F.countDistinct("stock_id").alias("vendor_listed_securities"), F.countDistinct("raw_id").alias("in_feed_unadjusted_securities"),

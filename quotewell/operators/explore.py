@@ -31,7 +31,7 @@ def search_securities(w: Warehouse, pattern: str) -> DataFrame:
 
 def latest_market(w: Warehouse) -> DataFrame:
     """Every bar of the newest day with its security."""
-    return w.feed_v_daily_prices_enriched.crossJoin(newest_day(w.feed_v_daily_prices)).where("date = newest").drop("newest")
+    return w.feed_v_daily_prices_enriched.crossJoin(newest_day(w, "feed_bars")).where("date = newest").drop("newest")
 
 
 def most_active(w: Warehouse, k: int = 20) -> DataFrame:

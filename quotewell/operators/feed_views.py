@@ -107,7 +107,7 @@ def feed_v_ingestion_runs(w: Warehouse) -> DataFrame:
 
 @view
 def feed_v_last_trading_day(w: Warehouse) -> DataFrame:
-    return w.feed_v_daily_prices.agg(F.max("date").alias("date"))
+    return w.newest_rows("feed_bars").agg(F.max("date").alias("date"))
 
 
 def coverage(bars: DataFrame) -> DataFrame:

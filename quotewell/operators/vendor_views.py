@@ -27,9 +27,9 @@ def vendor_v_adj_daily_prices(w: Warehouse) -> DataFrame:
     return w.vendor_bars.select(*VENDOR_BAR)
 
 
-def newest_day(bars: DataFrame) -> DataFrame:
-    """One row: the largest date."""
-    return F.broadcast(bars.agg(F.max("date").alias("newest")))
+def newest_day(w: Warehouse, bars: str = "vendor_bars") -> DataFrame:
+    """One row: the newest day of a base table of bars."""
+    return F.broadcast(w.newest_rows(bars).agg(F.max("date").alias("newest")))
 
 
 @view
@@ -38,7 +38,7 @@ def vendor_v_securities(w: Warehouse) -> DataFrame:
     each = bars.groupBy("stock_id").agg(
         last_by("stock_name", "date").alias("stock_name"), last_by("market", "date").alias("market"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count("*").alias("trading_days")
     )
-    return each.crossJoin(newest_day(bars)).withColumn("is_current", c("last_date") == c("newest")).drop("newest")
+    return each.crossJoin(newest_day(w)).withColumn("is_current", c("last_date") == c("newest")).drop("newest")
 
 
 @view
@@ -48,7 +48,7 @@ def vendor_v_trading_calendar(w: Warehouse) -> DataFrame:
 
 @view
 def vendor_v_last_trading_day(w: Warehouse) -> DataFrame:
-    return w.vendor_v_adj_daily_prices.agg(F.max("date").alias("date"))
+    return w.newest_rows("vendor_bars").agg(F.max("date").alias("date"))
 
 
 @view
@@ -157,7 +157,7 @@ def vendor_v_thin_index_days(w: Warehouse) -> DataFrame:
 def vendor_v_index_price_gaps(w: Warehouse) -> DataFrame:
     """Members without a bar on a session of the index, up to the newest bar."""
     bars = w.vendor_v_adj_daily_prices
-    asked = w.vendor_v_index_constituents.select("index_id", "date", "stock_id", "stock_name").crossJoin(newest_day(bars)).where("date <= newest").drop("newest")
+    asked = w.vendor_v_index_constituents.select("index_id", "date", "stock_id", "stock_name").crossJoin(newest_day(w)).where("date <= newest").drop("newest")
     return asked.join(bars.select("stock_id", "date"), ["stock_id", "date"], "left_anti").join(w.vendor_v_index_universe.select("stock_id", "has_price_history"), "stock_id").select("index_id", "date", "stock_id", "stock_name", "has_price_history")
 
 

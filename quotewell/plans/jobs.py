@@ -12,22 +12,23 @@ from quotewell.functions.exprs import c
 from quotewell.operators import etl
 from quotewell.sources import schemas
 from quotewell.sources.readers import exists, partitioned, single, snapshots
-from quotewell.sources.sinks import RunRecord, save_parquet, swap_in
+from quotewell.sources.sinks import RunRecord
+from quotewell.sources.versions import publish
 
 #: Preferred source of each price dataset: a market day is final for unadjusted bars; an adjusted one is a snapshot of an older basis.
 PRICES = {"daily-prices": ("daily", "market"), "adj-daily-prices": ("adj", "ticker")}
 
 
 def rebuild_prices(spark: SparkSession, root: str, dataset: str, ingested_at: Column | None = None) -> int:
-    """Processed prices anew from all raw files, swapped in whole. An empty source is an error and leaves what is there. Returns rows kept."""
+    """Processed prices anew from all raw files, published whole. An empty source is an error and leaves what is there. Returns rows kept."""
     raw, prefer = PRICES[dataset]
     ticker, market = (snapshots(spark, f"{root}/raw/{raw}-{source}", schemas.RAW_PRICE) for source in ("ticker", "market"))
     rows = etl.processed_prices(ticker, market, prefer, ingested_at)
     if rows.isEmpty():
         raise ValueError(f"{dataset}: no raw rows")
     live = f"{root}/processed/{dataset}"
-    swap_in(rows, live)
-    return spark.read.parquet(live).count()
+    publish(rows, live, "date", "stock_id")
+    return partitioned(spark, live, schemas.PRICE).count()
 
 
 def rebuild_dimensions(spark: SparkSession, root: str, aliases: dict[str, str], index_categories: tuple[str, ...]) -> list[str]:
@@ -37,13 +38,9 @@ def rebuild_dimensions(spark: SparkSession, root: str, aliases: dict[str, str],
     written: list[str] = []
 
     def keep(name: str, df: DataFrame, contract: object) -> DataFrame:
-        save_parquet(schemas.enforce(df, contract), f"{at(name)}__new")
-        saved = spark.read.parquet(f"{at(name)}__new")
-        save_parquet(saved, at(name))
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{at(name)}__new")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        publish(schemas.enforce(df, contract), at(name), by=())
         written.append(name)
-        return spark.read.parquet(at(name))
+        return single(spark, at(name), contract)
 
     master = keep("stock-info", etl.stock_info(raw("stock-info", schemas.RAW_STOCK_INFO), aliases, index_categories), schemas.STOCK_INFO)
     keep("industry", etl.industry(raw("industry", schemas.RAW_INDUSTRY)), schemas.INDUSTRY)

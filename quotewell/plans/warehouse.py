@@ -47,14 +47,18 @@ class Warehouse:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._planned:
-            if name in VIEWS:
-                self._planned[name] = VIEWS[name](self)
-            elif name in self.tables:
+            if name in self.tables:  # a stored table may stand for a view
                 self._planned[name] = self.tables[name]
+            elif name in VIEWS:
+                self._planned[name] = VIEWS[name](self)
             else:
                 raise AttributeError(f"no view or table {name!r}")
         return self._planned[name]
 
+    def newest_rows(self, name: str) -> DataFrame:
+        """Rows of a base table among which its newest day is: those of its newest month, if the store can tell it by folder names, or else all."""
+        return self.tables.get(f"{name}@newest", self.tables[name])
+
     def register(self) -> list[str]:
         """Make every view a temporary view of the session, for SQL users; a view that can't be planned names itself. RANGES become table functions."""
         for name in VIEWS:

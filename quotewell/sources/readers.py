@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from quotewell.functions.exprs import c
 from quotewell.functions.scalars import serial_to_date, split_security
 from quotewell.plans.warehouse import Warehouse
-from quotewell.sources import schemas
+from quotewell.sources import schemas, versions
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -31,11 +31,16 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def partitioned(spark: SparkSession, root: str, contract: T.StructType) -> DataFrame:
     """A processed dataset with its year and month folders; empty if it is not there yet."""
+    if versions.newest(spark, root) is not None:
+        return versions.read(spark, root, contract)
     whole = T.StructType([*contract.fields, *(T.StructField(n, T.IntegerType()) for n in ("year", "month") if n not in contract.names)])
     return spark.read.schema(whole).parquet(root) if exists(spark, root) else spark.createDataFrame([], whole)
 
 
 def single(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
+    """A table without folders of its own, versioned or plain; empty if it is not there yet."""
+    if versions.newest(spark, path) is not None:
+        return versions.read(spark, path, contract, by=())
     return spark.read.schema(contract).parquet(path) if exists(spark, path) else spark.createDataFrame([], contract)
 
 
@@ -283,9 +288,11 @@ def scan_container(content: bytes, table: str, fields: tuple[str, ...]) -> dict[
 def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
     """The warehouse below a folder: processed/<dataset> with year and month folders, single tables, and logs/runs."""
     at = lambda name: f"{root}/processed/{name}"
+    bars = {"feed_bars": ("daily-prices", schemas.PRICE), "feed_adj_bars": ("adj-daily-prices", schemas.PRICE), "vendor_bars": ("vendor-prices", schemas.VENDOR_PRICE)}
+    months = {f"{name}@newest": versions.newest_month(spark, at(folder), contract) for name, (folder, contract) in bars.items()}
     return Warehouse(
         spark,
-        {
+        {name: rows for name, rows in months.items() if rows is not None} | {
             "feed_bars": partitioned(spark, at("daily-prices"), schemas.PRICE), "feed_adj_bars": partitioned(spark, at("adj-daily-prices"), schemas.PRICE), "feed_calendar": single(spark, at("trading-dates"), schemas.CALENDAR),
             "feed_stock_info": single(spark, at("stock-info"), schemas.STOCK_INFO), "feed_delisted": single(spark, at("delisted-securities"), schemas.DELISTED), "feed_industry": single(spark, at("industry"), schemas.INDUSTRY),
             "feed_known_empty": single(spark, at("known-empty-dates"), schemas.KNOWN_EMPTY), "feed_runs": run_log(spark, f"{root}/logs/feed/*.jsonl"), "vendor_runs": run_log(spark, f"{root}/logs/vendor/*.jsonl"),

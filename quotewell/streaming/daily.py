@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quotewell.operators.etl import type_prices
 from quotewell.sources.schemas import PRICE, RAW_PRICE, enforce
-from quotewell.sources.sinks import replace_days
+from quotewell.sources.versions import replace_days
 
 
 def process_market_days(raw: DataFrame, root: str, universe: DataFrame | None = None) -> None:
@@ -19,7 +19,7 @@ def process_market_days(raw: DataFrame, root: str, universe: DataFrame | None =
     one = rows.groupBy("stock_id", "date").agg(*(F.max_by(x, F.struct("volume", "close")).alias(x) for x in rows.columns if x not in ("stock_id", "date")))
     typed = enforce(one.withColumn("ingested_at", F.current_timestamp()), PRICE)
     if not typed.isEmpty():
-        replace_days(typed, root)
+        replace_days(typed, root, PRICE, "date", "stock_id")
 
 
 def follow_market_days(spark: SparkSession, folder: str, root: str, checkpoint: str, universe: DataFrame | None = None, *, once: bool = True) -> StreamingQuery:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotewell.operators.checks import storage_checks
-from quotewell.sources import readers, schemas, sinks
+from quotewell.sources import readers, schemas, sinks, versions
 
 D = dt.date
 NOW = dt.datetime(2026, 9, 5)
@@ -87,7 +87,7 @@ def bars(spark, *rows):
 
 
 def held(spark, root):
-    return sorted((r.date, r.stock_id, r.close) for r in spark.read.parquet(root).collect())
+    return sorted((r.date, r.stock_id, r.close) for r in readers.partitioned(spark, root, schemas.PRICE).collect())
 
 
 def test_days_are_replaced_whole_and_others_stay(spark, tmp_path):
@@ -96,26 +96,15 @@ def test_days_are_replaced_whole_and_others_stay(spark, tmp_path):
     assert sorted(x for x in os.listdir(f"{root}/year=2024") if "=" in x) == ["month=8", "month=9"]
     day = bars(spark, (D(2024, 8, 2), "2", 5.0))
     for _ in range(2):
-        sinks.replace_days(day, root)
+        versions.replace_days(day, root, schemas.PRICE)
         assert held(spark, root) == [(D(2024, 8, 1), "1", 1.0), (D(2024, 8, 2), "2", 5.0), (D(2024, 9, 2), "1", 1.0)]
     assert readers.partitioned(spark, root, schemas.PRICE).where("year = 2024 AND month = 8").count() == 2
     assert readers.partitioned(spark, str(tmp_path / "none"), schemas.PRICE).columns[-2:] == ["year", "month"]
-    assert sinks.row_count(spark, root) == 3 and sinks.storage(spark, root)[0] >= 2
+    assert sinks.storage(spark, root)[0] >= 2
     assert {r.status for r in storage_checks(readers.open_warehouse(spark, str(tmp_path)), root).collect()} == {"PASS"}
 
 
-def test_swap_keeps_the_old_on_failure(spark, tmp_path):
-    root = str(tmp_path / "live")
-    sinks.swap_in(bars(spark, (D(2024, 8, 1), "1", 1.0)), root)
-    sinks.swap_in(bars(spark, (D(2024, 8, 1), "1", 2.0)), root)
-    assert held(spark, root) == [(D(2024, 8, 1), "1", 2.0)]
-    broken = bars(spark, (D(2024, 8, 1), "1", 3.0)).withColumn("close", F.raise_error(F.lit("torn")).cast("double"))
-    with pytest.raises(Exception, match="torn"):
-        sinks.swap_in(broken, root)
-    assert held(spark, root) == [(D(2024, 8, 1), "1", 2.0)] and not os.path.exists(f"{root}__old")
-
-
-def test_run_log_and_results(spark, tmp_path):
+def test_run_log_and_results(spark, tmp_path, monkeypatch):
     logs = str(tmp_path / "logs")
     with sinks.RunRecord(spark, logs, "daily") as run:
         run.metrics["rows"] = 3
@@ -130,6 +119,10 @@ def test_run_log_and_results(spark, tmp_path):
     assert sinks.save_csv(spark.range(3), path) == 3 and open(path, "rb").read(3) == b"\xef\xbb\xbf"
     assert readers.csv_results(spark, path).columns == ["id"]
     sinks.save_parquet(spark.range(3), str(tmp_path / "r"))
+    assert sinks.row_count(spark, str(tmp_path / "r")) == 3
+    monkeypatch.setattr(sinks, "SHEET_ROWS", 3)
+    with pytest.raises(ValueError, match="write Parquet"):
+        sinks.save_csv(spark.range(3), path)
 
 
 def test_snapshots(spark, tmp_path):

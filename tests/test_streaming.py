@@ -2,7 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from quotewell.sources.schemas import RAW_PRICE
+from quotewell.sources.readers import partitioned
+from quotewell.sources.schemas import PRICE, RAW_PRICE
 from quotewell.streaming.daily import follow_market_days, late_rows, process_market_days
 
 D = dt.date
@@ -13,7 +14,7 @@ def raw(spark, *rows):
 
 
 def held(spark, root):
-    return sorted((r.date, r.stock_id, r.close) for r in spark.read.parquet(root).collect())
+    return sorted((r.date, r.stock_id, r.close) for r in partitioned(spark, root, PRICE).collect())
 
 
 def test_files_are_processed_once_and_corrections_replace(spark, tmp_path):
