@@ -44,7 +44,7 @@ BASE: dict[str, str] = {
     "feed_raw_ticker": """
         SELECT CAST(date AS STRING) AS date, stock_id, px * (1 - CASE WHEN k % 4 = 0 THEN cut / 2 ELSE cut END) AS close, n FROM quoted WHERE k % 7 <> 0""",
     "feed_raw_market": """
-        SELECT CASE WHEN k % 50 = 49 THEN 'None' ELSE CAST(date AS STRING) END AS date, stock_id, px * (1 - cut / 4) AS close, n FROM quoted WHERE day_no % 3 = 0""",
+        SELECT CASE WHEN k % 50 = 49 THEN 'None' ELSE CAST(date AS STRING) END AS date, stock_id, px * (1 - cut / 4) AS close, n FROM quoted""",
     "feed_calendar_raw": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM {orders}",
     "feed_calendar": """
         SELECT date, CASE WHEN max(o) = 1 THEN 'official' ELSE 'derived' END AS source
@@ -99,7 +99,7 @@ BASE: dict[str, str] = {
                concat('Security ', CAST(m.k AS STRING)) AS stock_name, m.weight AS prev_weight_pct, CAST(1 AS DOUBLE) AS index_factor, CAST(0.5 AS DOUBLE) AS free_float_factor, CAST(1 AS DOUBLE) AS cap_factor,
                m.paid AS shares, CAST(100 AS DOUBLE) AS index_base_value, m.paid / 100 AS prev_adj_close, concat(m.index_id, '/', CAST(m.year AS STRING), '.xlsx') AS source_file,
                d.stamp AS ingested_at, m.year, m.month
-        FROM members m JOIN (SELECT date, year, month, max(stamp) AS stamp FROM quoted WHERE day(date) % 4 = 1 GROUP BY date, year, month) d ON d.year = m.year AND d.month = m.month
+        FROM members m JOIN (SELECT date, year, month, max(stamp) AS stamp FROM quoted GROUP BY date, year, month) d ON d.year = m.year AND d.month = m.month
         WHERE m.index_id = 'TWN50' OR (m.place + day(d.date)) % 9 <> 0 OR m.year < 1998""",
     "vendor_workbooks": """
         SELECT concat(stock_id, '.xlsx') AS source_file, stock_id, CAST(count(*) * 1234 AS BIGINT) AS file_bytes, max(ingested_at) AS modified_at, 'Sheet1' AS sheet_name, 'grid' AS defined_name,
