@@ -39,7 +39,7 @@ HEAVY = 1 << 20
 #: Chunks that a partition remembers, and their bytes, before it starts anew.
 REMEMBERED, REMEMBERED_BYTES = 200_000, 24 << 20
 #: Characters of the texts handled together, unless one has more.
-CHARS_AT_ONCE = 1 << 18
+CHARS_AT_ONCE = 1 << 19
 
 #: New chunks that A encodes as one text.
 JOINED = 256
@@ -48,7 +48,7 @@ PAIRS = """
 SELECT chunk, a * {b_ids} + b AS pair, count(*)::BIGINT AS n FROM (
     SELECT a.chunk, a.id AS a, b.id AS b FROM a ASOF JOIN b ON a.s >= b.s
     UNION ALL
-    SELECT a.chunk, a.id, b.id FROM a JOIN b ON b.s > a.s AND b.s < a.e)
+    SELECT a.chunk, a.id, b.id FROM a JOIN (SELECT id, s FROM b ANTI JOIN a ON a.s = b.s) b ON b.s > a.s AND b.s < a.e)
 GROUP BY ALL
 """
 
@@ -59,7 +59,7 @@ numbered AS (
     SELECT chunk, 0 AS side, s, id, sum((ends.e IS NOT NULL)::INTEGER) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) - (ends.e IS NOT NULL)::INTEGER AS part FROM a LEFT JOIN ends ON ends.e = a.e
     UNION ALL
     SELECT chunk, 1, s, id, sum((ends.e IS NOT NULL)::INTEGER) OVER (ORDER BY s ROWS UNBOUNDED PRECEDING) - (ends.e IS NOT NULL)::INTEGER FROM b LEFT JOIN ends ON ends.e = b.e)
-SELECT chunk, side, id, part::BIGINT AS part FROM numbered ORDER BY part, side, s
+SELECT chunk, side, id, part::BIGINT AS part, s FROM numbered
 """
 
 
@@ -211,7 +211,9 @@ class Aligner:
         order = np.argsort(chunk, kind="stable")
         self.pair_ids, self.pair_times = np.concatenate([self.pair_ids, pair[order]]), np.concatenate([self.pair_times, n[order]])
         groups = [""] * len(new)
-        chunk, side, ids, part = self.db.execute(GROUPS).fetchnumpy().values()
+        chunk, side, ids, part, s = self.db.execute(GROUPS).fetchnumpy().values()
+        order = np.argsort((part * 2 + side) << 32 | s, kind="stable")  # both sides come in order: two runs to merge
+        chunk, side, ids, part = chunk[order], side[order], ids[order], part[order]
         if len(chunk):
             sizes[:, 2] = np.bincount(chunk[np.append(True, part[1:] != part[:-1])], minlength=len(new))
             after = np.where(chunk[1:] != chunk[:-1], 3, np.where(part[1:] != part[:-1], 2, np.where(side[1:] != side[:-1], 1, 0)))
