@@ -153,9 +153,11 @@ def cmp_coverage_by_year(w: Warehouse) -> DataFrame:
     adjusted = w.feed_v_adj_daily_prices.select(*KEY, c("stock_id").alias("adj_id"))
     newest = newest_day(w, "feed_bars")
     rows = w.vendor_v_adj_daily_prices.where(listed()).select(*KEY).crossJoin(newest).where("date <= newest").join(unadjusted, KEY, "left").join(adjusted, KEY, "left")
-    return rows.groupBy(F.year("date").alias("year")).agg(
-        F.count("*").alias("vendor_listed_rows"), F.countDistinct("stock_id").alias("vendor_listed_securities"), F.countDistinct("raw_id").alias("in_feed_unadjusted_securities"),
-        F.countDistinct("adj_id").alias("in_feed_adjusted_securities"), share(F.count("raw_id"), F.count("*"), 2).alias("feed_unadjusted_row_pct"), share(F.count("adj_id"), F.count("*"), 2).alias("feed_adjusted_row_pct"),
+    # the ids are equal where they are there, so one row a security and year has all three distinct counts
+    each = rows.groupBy(F.year("date").alias("year"), "stock_id").agg(F.count("*").alias("n"), F.count("raw_id").alias("raw"), F.count("adj_id").alias("adj"))
+    return each.groupBy("year").agg(
+        F.sum("n").alias("vendor_listed_rows"), F.count("stock_id").alias("vendor_listed_securities"), number_of(c("raw") > 0, "in_feed_unadjusted_securities"),
+        number_of(c("adj") > 0, "in_feed_adjusted_securities"), share(F.sum("raw"), F.sum("n"), 2).alias("feed_unadjusted_row_pct"), share(F.sum("adj"), F.sum("n"), 2).alias("feed_adjusted_row_pct"),
     )
 
 
@@ -318,9 +320,10 @@ def cmp_vendor_suspicious_summary(w: Warehouse) -> DataFrame:
 def cmp_stale_market_snapshots(w: Warehouse) -> DataFrame:
     both = raw_closes(w.feed_raw_market).withColumnRenamed("close", "m").join(raw_closes(w.feed_raw_ticker).withColumnRenamed("close", "t"), KEY).where("t > 0")
     differs = F.abs(c("m") / c("t") - 1) > AGREE
-    return both.agg(
-        F.count("*").alias("rows_in_both"), F.countDistinct("stock_id").alias("securities"), number_of(differs, "rows_market_differs"), F.countDistinct(F.when(differs, c("stock_id"))).alias("securities_affected"),
-        F.min("date").alias("first_market_day"), F.max("date").alias("last_market_day"),
+    each = both.groupBy("stock_id").agg(F.count("*").alias("n"), number_of(differs, "off"), F.min("date").alias("first"), F.max("date").alias("last"))
+    return each.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_in_both"), F.count("stock_id").alias("securities"), F.coalesce(F.sum("off"), F.lit(0)).alias("rows_market_differs"), number_of(c("off") > 0, "securities_affected"),
+        F.min("first").alias("first_market_day"), F.max("last").alias("last_market_day"),
     )
 
 
@@ -393,8 +396,9 @@ def cmp_volume_unit_error_sample(w: Warehouse) -> DataFrame:
 def missing_by_month(w: Warehouse, first: str, last: str) -> DataFrame:
     feed = w.feed_v_daily_prices.select(*KEY, c("date").alias("feed_date"))
     rows = w.vendor_v_adj_daily_prices.where(c("market").isin("TSE", "OTC") & c("date").between(F.lit(first).cast("date"), F.lit(last).cast("date"))).join(feed, KEY, "left")
-    return rows.groupBy(F.date_format("date", "yyyy-MM").alias("month"), "market").agg(
-        F.count("*").alias("vendor_rows"), (F.count("*") - F.count("feed_date")).alias("missing_in_feed"), F.countDistinct("date").alias("vendor_days"), F.countDistinct("feed_date").alias("feed_days")
+    each = rows.groupBy("date", "market").agg(F.count("*").alias("n"), F.count("feed_date").alias("fed"))
+    return each.groupBy(F.date_format("date", "yyyy-MM").alias("month"), "market").agg(
+        F.sum("n").alias("vendor_rows"), (F.sum("n") - F.sum("fed")).alias("missing_in_feed"), F.count("date").alias("vendor_days"), number_of(c("fed") > 0, "feed_days")
     )
 
 

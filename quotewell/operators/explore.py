@@ -88,7 +88,8 @@ def alive_at(w: Warehouse, on: Day) -> DataFrame:
 def survivors_and_all(w: Warehouse) -> DataFrame:
     """Securities with bars, by year: those alive now against all."""
     rows = w.feed_v_daily_prices_enriched
-    return rows.groupBy("year").agg(F.countDistinct("stock_id").alias("all_securities"), F.countDistinct(F.when(~c("is_delisted"), c("stock_id"))).alias("survivors"))
+    each = rows.groupBy("year", "stock_id").agg(F.count(F.when(~c("is_delisted"), True)).alias("alive"))
+    return each.groupBy("year").agg(F.count("stock_id").alias("all_securities"), F.count(F.when(c("stock_id").isNotNull() & (c("alive") > 0), True)).alias("survivors"))
 
 
 def with_industries(w: Warehouse, on: Day) -> DataFrame:
