@@ -170,20 +170,26 @@ class Codec:
             size += len(p) + 1
             if size >= QUERY_CHARS or k + 1 == len(pieces):
                 todo = pieces[first : k + 1]
-                parts = [self._parts((before + x).encode()) for x in todo]
-                flat = [x for own in parts for x in own]
-                got: list[bytes] = [b""] * len(flat)
-                for how, some in ((ENCODE, [i for i, x in enumerate(flat) if len(x) <= LONG]), (ENCODE_LONG, [i for i, x in enumerate(flat) if len(x) > LONG])):
-                    for i, ids in zip(some, self._query([flat[i] for i in some], how) if some else (), strict=True):
-                        got[i] = ids
-                told = iter(got)
-                into.update((x, b"".join(islice(told, len(own)))) for x, own in zip(todo, parts, strict=True))
+                whole = [(before + x).encode() for x in todo]
+                short = [i for i, x in enumerate(whole) if len(x) <= LONG]
+                into.update(zip(map(todo.__getitem__, short), self._query(list(map(whole.__getitem__, short)), ENCODE) if short else (), strict=True))
+                if len(short) < len(todo):
+                    self._contract_long({x: own for x, own in zip(todo, whole, strict=True) if len(own) > LONG}, into)
                 first, size = k + 1, 0
 
+    def _contract_long(self, pieces: dict[str, bytes], into: dict[str, bytes]) -> None:
+        """Ids of long pieces: those of their parts, one after another."""
+        parts = [self._parts(x) for x in pieces.values()]
+        flat = [x for own in parts for x in own]
+        got: list[bytes] = [b""] * len(flat)
+        for how, some in ((ENCODE, [i for i, x in enumerate(flat) if len(x) <= LONG]), (ENCODE_LONG, [i for i, x in enumerate(flat) if len(x) > LONG])):
+            for i, ids in zip(some, self._query([flat[i] for i in some], how) if some else (), strict=True):
+                got[i] = ids
+        told = iter(got)
+        into.update((x, b"".join(islice(told, len(own)))) for x, own in zip(pieces, parts, strict=True))
+
     def _parts(self, piece: bytes) -> list[bytes]:
-        """The piece, cut where no token stands across, if it is long."""
-        if len(piece) <= LONG:
-            return [piece]
+        """The piece, cut where no token stands across."""
         cuts, reach = [0], 0
         for at in range(len(piece)):
             if at and at == reach:
