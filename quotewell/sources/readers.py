@@ -6,9 +6,11 @@ import datetime as dt
 import io
 import re
 import zipfile
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import batched, groupby, islice
+from typing import BinaryIO
 from xml.etree.ElementTree import Element, XMLPullParser
 
 import pyarrow as pa
@@ -95,6 +97,13 @@ def held_dates(rows: DataFrame) -> DataFrame:
 # --- workbooks --------------------------------------------------------------------------------------------------------
 
 
+#: Names of workbooks that are no lock files.
+WORKBOOKS = r"^[^~].*\.xlsx$"
+CELLS = "path string, error string, cells array<string>"
+#: Sheet rows of one batch.
+ROWS_AT_ONCE = 2_048
+
+
 @dataclass(frozen=True)
 class WorkbookContract:
     """Columns of a sheet in order: (header, name). Names security, index, date and constituent are identities; those in text and whole are typed so."""
@@ -131,29 +140,55 @@ def _texts(node: Element) -> str:
     return (node.text or "") * (_local(node.tag) == "t") + "".join(map(_texts, node))
 
 
-def _events(z: zipfile.ZipFile, part: str) -> Iterator[tuple[str, str, Element]]:
-    """(start or end, local tag, node) of a part, read piece by piece."""
-    parser = XMLPullParser(("start", "end"))
+def _events(z: zipfile.ZipFile, part: str, forget: str | None = None) -> Iterator[tuple[str, str, Element]]:
+    """(start or end, local tag, node) of a part, read piece by piece. Nodes with the tag forget leave the tree once they have been told, so that it stays small."""
+    parser, above = XMLPullParser(("start", "end")), []
     with z.open(part) as f:
         while piece := f.read(1 << 16):
             parser.feed(piece)
             for event, node in parser.read_events():
-                yield event, _local(node.tag), node
+                tag = _local(node.tag)
+                if event == "start":
+                    above.append(node)
+                else:
+                    above.pop()
+                yield event, tag, node
+                if event == "end" and tag == forget and above:
+                    above[-1].remove(node)
+    parser.close()  # raises if the part ends too early
 
 
-def sheet_cells(content: bytes) -> Iterator[tuple[int, int, str]]:
-    """(row, column, text) of the first sheet's cells that have a value, counted from 0. Rows and cells without a reference follow the one before."""
-    with zipfile.ZipFile(io.BytesIO(content)) as z:
-        parts, strings = set(z.namelist()), []
-        if "xl/sharedStrings.xml" in parts:
-            strings = [_texts(node) for event, tag, node in _events(z, "xl/sharedStrings.xml") if (event, tag) == ("end", "si")]
+class _Strings:
+    """A workbook's table of strings in two flat buffers: eight bytes a string beside its text, however many there are."""
+
+    def __init__(self) -> None:
+        self.text, self.ends = bytearray(), array("Q", [0])
+
+    def append(self, text: str) -> None:
+        self.text += text.encode()
+        self.ends.append(len(self.text))
+
+    def __getitem__(self, k: int) -> str:
+        if not 0 <= k < len(self.ends) - 1:
+            raise ValueError(f"no string number {k}")
+        return self.text[self.ends[k] : self.ends[k + 1]].decode()
+
+
+def sheet_cells(content: bytes | BinaryIO) -> Iterator[tuple[int, int, str]]:
+    """(row, column, text) of the first sheet's cells that have a value, counted from 0. Rows and cells without a reference follow the one before.
+
+    content: a workbook, or an open file of it. Of the sheet, a row at a time is held, beside the workbook's table of strings."""
+    with zipfile.ZipFile(io.BytesIO(content) if isinstance(content, bytes) else content) as z:
+        strings = _Strings()
+        if "xl/sharedStrings.xml" in z.namelist():
+            for event, tag, node in _events(z, "xl/sharedStrings.xml", forget="si"):
+                if (event, tag) == ("end", "si"):
+                    strings.append(_texts(node))
         row = column = -1
-        for event, tag, node in _events(z, "xl/worksheets/sheet1.xml"):
+        for event, tag, node in _events(z, "xl/worksheets/sheet1.xml", forget="row"):
             if tag == "row":
                 if event == "start":
                     row, column = int(node.get("r", row + 2)) - 1, -1
-                else:
-                    node.clear()
             elif tag == "c" and event == "start":
                 column = column_number(node.get("r")) if node.get("r") else column + 1
             elif tag == "c":
@@ -163,7 +198,7 @@ def sheet_cells(content: bytes) -> Iterator[tuple[int, int, str]]:
                     yield row, column, text
 
 
-def sheet_rows(content: bytes, width: int) -> Iterator[list[str | None]]:
+def sheet_rows(content: bytes | BinaryIO, width: int) -> Iterator[list[str | None]]:
     """The first sheet's rows that have values, as lists of width texts."""
     for _, cells in groupby(sheet_cells(content), key=lambda x: x[0]):
         found = {column: text for _, column, text in cells}
@@ -176,31 +211,57 @@ def header_faults(got: list[str | None], expected: tuple[str, ...]) -> list[str]
     return [f"column {i + 1}: expected {e!r}, got {g!r}" for i, (e, g) in enumerate(zip(expected, seen, strict=True)) if e != g][:5]
 
 
-def workbook_cells(spark: SparkSession, folder: str, contract: WorkbookContract, pattern: str = r"^[^~].*\.xlsx$") -> DataFrame:
-    """path, error, cells: a row a sheet row, or a row with an error for a file that can't be read. Only unzipping runs in Python, a file at a time."""
+def checked_rows(content: bytes | BinaryIO, headers: tuple[str, ...], at_once: int = ROWS_AT_ONCE) -> Iterator[list[list[str | None]]]:
+    """The rows below a sheet's header in lists of at_once at most. What is wrong with a file is raised before any of its rows: one of more rows is read through before they are told."""
+    rows = sheet_rows(content, len(headers))
+    first = next(rows, None)
+    if first is None:
+        raise ValueError("empty sheet")
+    if faults := header_faults(first, headers):
+        raise ValueError("unexpected header: " + "; ".join(faults))
+    told = list(islice(rows, at_once))
+    if next(rows, None) is None:  # those were all
+        if told:
+            yield told
+        return
+    del told
+    for _ in rows:
+        pass
+    yield from map(list, batched(islice(sheet_rows(content, len(headers)), 1, None), at_once))
+
+
+def cell_batches(path: str, content: bytes | BinaryIO, headers: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """path, error, cells of one workbook: its rows in bounded batches, or a single row with the error."""
+
+    def told(cells: list[list[str | None] | None], error: str | None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([path] * len(cells)), pa.array([error] * len(cells), pa.string()), pa.array(cells, pa.list_(pa.string()))], ["path", "error", "cells"])
+
+    batches = checked_rows(content, headers)
+    try:
+        first = next(batches, None)
+    except Exception as e:  # noqa: BLE001  one bad file must not hide the others
+        yield told([None], f"{type(e).__name__}: {e}")
+        return
+    if first is not None:
+        yield told(first, None)
+        yield from (told(rows, None) for rows in batches)
+
+
+def workbook_cells(spark: SparkSession, folder: str, contract: WorkbookContract, pattern: str = WORKBOOKS) -> DataFrame:
+    """path, error, cells: a row a sheet row, or a row with an error for a file that can't be read. Only unzipping runs in Python, a file at a time; Spark hands each file over as one
+    value, so for files of over some hundred MB see sources/workbooks.py."""
     headers = contract.headers
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
-                cells, error = [], None
-                try:
-                    rows = sheet_rows(content.as_py(), len(headers))
-                    first = next(rows, None)
-                    if first is None:
-                        raise ValueError("empty sheet")
-                    if faults := header_faults(first, headers):
-                        raise ValueError("unexpected header: " + "; ".join(faults))
-                    cells = list(rows)
-                except Exception as e:  # noqa: BLE001  one bad file must not hide the others
-                    cells, error = [None], f"{type(e).__name__}: {e}"
-                yield pa.RecordBatch.from_arrays([pa.array([path] * len(cells)), pa.array([error] * len(cells), pa.string()), pa.array(cells, pa.list_(pa.string()))], ["path", "error", "cells"])
+                yield from cell_batches(path, content.as_py(), headers)
 
     if not exists(spark, folder):
-        return spark.createDataFrame([], "path string, error string, cells array<string>")
+        return spark.createDataFrame([], CELLS)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     wanted = files.where(F.element_at(F.split("path", "/"), -1).rlike(pattern)).select("path", "content")
-    return wanted.mapInArrow(parse, "path string, error string, cells array<string>")
+    return wanted.mapInArrow(parse, CELLS)
 
 
 def assert_not_busy(spark: SparkSession, folder: str) -> None:
