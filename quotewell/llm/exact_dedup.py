@@ -8,7 +8,7 @@ A text that alone holds more than 1/HOT_SHARE of the rows is dealt out over salt
 other text. The at most HOT_SHARE such texts are then joined across their slices, one row a slice.
 
 Cases: a null text counts as empty. Of rows equal in text and id one stays. Null ids rank below all others; a group of
-null ids only has a null keep_id and one row kept. Empty tables give empty results; other columns are ignored.
+null ids only has a null keep_id and one row kept. Very long texts are sorted and compared whole. Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ within a small shift is its score. A template counts if the score reaches MIN_SC
 that place. Only the index (the templates' words) and their IDF are sent to tasks; both are bounded by the templates.
 
 Cases: a null or empty text has no words and no labels. Labels are distinct and sorted, however often a licence comes; none is the empty
-string. Rows are judged alone, so ties and repeats need no rule. Empty tables give empty results; other columns are ignored.
+string. Rows are judged alone, so ties and repeats need no rule. Very long texts are read whole. Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ sum to max_bits - m + 1, two such fingerprints differ in at most t_i bits of som
 With second_bits, each document has a second fingerprint of other hashes, and a link needs that one to be near as well: at a loose max_bits
 64 bits alone would link strangers in a large corpus. Equal fingerprints are one node from the start. What reaches the driver is bounded: 64 x 64 bit counts and the blocks' histograms.
 
-Cases: a null or empty text has no words and fingerprint zero, linked like any other; texts shorter than a shingle are one shingle. Null ids are
+Cases: a null or empty text has no words and fingerprint zero, linked like any other; texts shorter than a shingle are one shingle, and very long ones are read whole. Null ids are
 linked but never name a component unless all are null. Repeated rows come out as often as they come in. Empty tables give empty results;
 other columns are ignored.
 """
