@@ -16,10 +16,13 @@ COLUMNS = {
     "op8_licenses": {"doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"},
     "op9_simhash": {"doc_id", "fingerprint", "component_id"},
     "op10_secrets": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
+    "op11_neighbours": {"query_id", "rank", "vec_id", "score"},
+    "op12_periodic_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
+    "op13_token_align": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
 }
 
 
-def test_ten_queries():
+def test_every_query_has_its_columns():
     assert set(QUERIES) == set(COLUMNS) and set(ORACLES) <= set(QUERIES)
 
 
@@ -28,8 +31,11 @@ def test_query(spark, sf_dir, name):
     out = QUERIES[name](spark, sf_dir)
     assert COLUMNS[name] <= set(out.columns)
     rows = out.collect()
-    table = "pages" if name.startswith("op1_") else "documents"
-    assert len(rows) == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
+    if name.startswith("op11_"):  # five of each query's neighbours
+        wanted = 5 * spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("vec_id % 50 = 0").count()
+    else:
+        wanted = spark.read.parquet(f"{sf_dir}/{'pages' if name.startswith('op1_') else 'documents'}.parquet").count()
+    assert len(rows) == wanted
     if name in ORACLES:
         db = duckdb.connect()
         db.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
