@@ -16,7 +16,7 @@ def shared_dir(sf_dir, tmp_path_factory):
     con = duckdb.connect()
     for t in TABLES:
         key = {"supplier": "s_suppkey", "lineitem": "l_suppkey"}.get(t)
-        rows = f"SELECT * REPLACE ({key} + {FIRST} + 10 * i AS {key}) FROM '{sf_dir}/{t}.parquet', range({COPIES}) g(i)" if key else f"FROM '{sf_dir}/{t}.parquet'"
+        rows = f"SELECT t.* REPLACE ({key} + {FIRST} + 10 * i AS {key}) FROM '{sf_dir}/{t}.parquet' t, range({COPIES}) g(i)" if key else f"FROM '{sf_dir}/{t}.parquet'"
         con.execute(f"COPY ({rows}) TO '{out}/{t}.parquet'")
     return str(out)
 
@@ -41,6 +41,6 @@ def test_ids_are_shared(spark, shared_dir):
     assert trial(spark, shared_dir).feed_bars.groupBy("stock_id", "date").count().where("count > 2").count() > 0
 
 
-@pytest.mark.parametrize("name", ["coverage_by_index", "etl_industry", "feed_health", "vendor_health"])
+@pytest.mark.parametrize("name", ["coverage_by_index", "etl_industry", "feed_health", "vendor_health", "cmp_overlap_size", "cmp_activity_by_year", "cmp_volume_unit_error"])
 def test_shared_ids_match_sql(spark, shared_dir, shared_db, name):
     same(spark, shared_dir, shared_db, name)
