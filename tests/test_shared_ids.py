@@ -41,6 +41,6 @@ def test_ids_are_shared(spark, shared_dir):
     assert trial(spark, shared_dir).feed_bars.groupBy("stock_id", "date").count().where("count > 2").count() > 0
 
 
-@pytest.mark.parametrize("name", ["coverage_by_index", "etl_industry", "feed_health", "vendor_health", "cmp_overlap_size", "cmp_activity_by_year", "cmp_volume_unit_error"])
+@pytest.mark.parametrize("name", ["coverage_by_index", "etl_industry", "feed_health", "vendor_health", "cmp_overlap_size", "cmp_activity_by_year", "cmp_volume_unit_error", "cmp_level_by_year", "cmp_volume_mismatch_shape"])
 def test_shared_ids_match_sql(spark, shared_dir, shared_db, name):
     same(spark, shared_dir, shared_db, name)
