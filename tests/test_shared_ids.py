@@ -2,9 +2,12 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_queries import QUERIES, SQL, TABLES, table
 
+from quotewell.operators import compare
 from quotewell.plans.queries import trial
+from quotewell.plans.warehouse import Warehouse
 
 #: Six copies of ten suppliers, from 9970 on: three ids of ten suppliers each, and thirty of one.
 COPIES, FIRST = 6, 9970
@@ -44,3 +47,54 @@ def test_ids_are_shared(spark, shared_dir):
 @pytest.mark.parametrize("name", ["coverage_by_index", "etl_industry", "feed_health", "vendor_health", "cmp_overlap_size", "cmp_activity_by_year", "cmp_volume_unit_error", "cmp_level_by_year", "cmp_volume_mismatch_shape"])
 def test_shared_ids_match_sql(spark, shared_dir, shared_db, name):
     same(spark, shared_dir, shared_db, name)
+
+
+def measured(rows, times):
+    count = lambda x: F.sum(F.when(x, times))
+    return rows.groupBy("market", F.year("date").alias("year")).agg(
+        F.sum(times).alias("n"), count(F.col("clean")).alias("clean"), count(F.col("r_up").isNotNull()).alias("up"), *(count(compare.beyond(r)).alias(r) for r in ("r_vendor", "r_feed", "r_up", "r_raw"))
+    )
+
+
+@pytest.mark.parametrize("free_rows", [0, compare.FREE_ROWS])
+def test_weighted_rows_stand_for_all_returns(spark, shared_dir, free_rows):
+    w = trial(spark, shared_dir)
+    whole = measured(w.returns.where(F.col("seq") > free_rows), F.lit(1)).collect()
+    fewer = measured(compare.weighted(w, free_rows), F.col("times")).collect()
+    assert sorted(map(tuple, whole), key=repr) == sorted(map(tuple, fewer), key=repr) and len(whole) > 20
+
+
+def test_returns_have_a_row_for_each_of_aligned(spark, shared_dir):
+    w = trial(spark, shared_dir)
+    linked = compare._combined(compare._copied(compare._linked(compare.days(w))), *"vfur")
+    told = linked.agg(F.count("*").alias("n"), F.countDistinct("stock_id", "seq").alias("places"), F.countDistinct("stock_id").alias("ids")).first()
+    assert told.n == told.places == w.aligned.count() > 100_000
+    assert linked.groupBy("stock_id").agg(F.max("seq").alias("last"), F.count("*").alias("n")).where("last <> n").count() == 0
+
+
+def test_disagreements_are_those_of_all_returns(spark, shared_dir):
+    w = trial(spark, shared_dir)
+    whole = w.returns.where(compare.listed() & (compare.apart("r_vendor", "r_feed") > compare.MATERIAL)).withColumn("cause", compare.cause())
+    assert whole.exceptAll(w.disagreements).count() == 0 and whole.count() == w.disagreements.count() > 0
+
+
+def test_no_trade_rule_counts_all_rows(spark, shared_dir):
+    w = trial(spark, shared_dir)
+    near = lambda a, b: compare.apart(a, b) < 0.0051
+    whole = compare._combined(compare._copied(compare._linked(compare.days(w))), *"vfur").where((F.col("raw") == 0) & (F.col("p_raw") > 0) & near("p_vendor", "p_raw") & compare.listed())
+    told = compare.cmp_no_trade_day_rule(w).first()
+    assert (told.no_trade_days_at_factor_1, told.feed_carries_last_close) == (whole.count(), whole.where(near("feed", "p_feed")).count())
+
+
+def test_ties_do_not_depend_on_the_order_of_rows(spark):
+    columns = "snapshot_date string, stock_id string, stock_name string, industry_category string, industry_category_norm string, type string, is_index boolean"
+    rows = [("2001-01-04", "1000", name, "PERU", "PERU", kind, False) for name, kind in (("b", "main"), ("a", "other"), ("c", "main"))]
+    for order in (rows, rows[::-1]):
+        w = Warehouse(spark, {"feed_stock_info": spark.createDataFrame(order, columns).coalesce(1)})
+        assert [r.stock_name for r in w.feed_v_stock_info_latest.collect()] == ["a"]
+
+
+def test_vendor_returns_do_not_depend_on_the_order_of_rows(spark, shared_dir):
+    bars = trial(spark, shared_dir).vendor_bars.where("stock_id = '1000'")
+    told = [compare.cmp_vendor_internal_return_check(Warehouse(spark, {"vendor_bars": bars.orderBy(*order)})).orderBy("segment").collect() for order in (("k" if "k" in bars.columns else "stock_name",), (F.desc("stock_name"), F.desc("date")))]
+    assert told[0] == told[1] and told[0][0].n > 0
