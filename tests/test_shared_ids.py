@@ -86,6 +86,25 @@ def test_no_trade_rule_counts_all_rows(spark, shared_dir):
     assert (told.no_trade_days_at_factor_1, told.feed_carries_last_close) == (whole.count(), whole.where(near("feed", "p_feed")).count())
 
 
+def test_weighted_rows_are_no_more_than_a_days_bars(spark, shared_dir):
+    w = trial(spark, shared_dir)
+    held = compare.days(w).select(*compare.KEY, (F.size("v") + F.size("f") + F.size("u") + 2 * F.size("r")).alias("bars"))
+    rows = compare.weighted(w, kinds=compare.LISTED_ALONE).groupBy(*compare.KEY).count().join(held, compare.KEY)
+    assert rows.where("count > bars").count() == 0 and rows.agg(F.max("count")).first()[0] > 20
+
+
+def test_all_sides_come_from_one_scan(spark, shared_dir):
+    plan = compare.cmp_vendor_suspicious_summary(trial(spark, shared_dir))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_days_of_tables_that_are_apart(spark, sf_dir):
+    w = trial(spark, sf_dir)
+    apart = Warehouse(spark, {x: w.tables[x] for x in ("vendor_bars", "feed_adj_bars", "feed_bars", "feed_raw_ticker", "feed_raw_market")})
+    one, other = compare.days(w), compare.days(apart)
+    assert one.count() == other.count() > 0 and one.exceptAll(other).count() == 0
+
+
 def test_ties_do_not_depend_on_the_order_of_rows(spark):
     columns = "snapshot_date string, stock_id string, stock_name string, industry_category string, industry_category_norm string, type string, is_index boolean"
     rows = [("2001-01-04", "1000", name, "PERU", "PERU", kind, False) for name, kind in (("b", "main"), ("a", "other"), ("c", "main"))]
