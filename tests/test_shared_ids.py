@@ -1,5 +1,7 @@
 """Ids have four characters, so longer supplier keys share them: several bars a security and day. Queries against their SQL on such tables."""
 
+import re
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -117,3 +119,26 @@ def test_vendor_returns_do_not_depend_on_the_order_of_rows(spark, shared_dir):
     bars = trial(spark, shared_dir).vendor_bars.where("stock_id = '1000'")
     told = [compare.cmp_vendor_internal_return_check(Warehouse(spark, {"vendor_bars": bars.orderBy(*order)})).orderBy("segment").collect() for order in (("k" if "k" in bars.columns else "stock_name",), (F.desc("stock_name"), F.desc("date")))]
     assert told[0] == told[1] and told[0][0].n > 0
+
+
+@pytest.mark.parametrize("name", ["cmp_disagreement_causes_by_year", "cmp_return_agreement", "cmp_beyond_limit_by_year", "cmp_vendor_beyond_limit_sample", "disagreements", "cmp_level_by_year"])
+def test_lists_of_a_day_are_not_made_again_in_filters(spark, shared_dir, name):
+    """The optimizer would copy a list's expression into a test of its size, and from there into lambdas: once an element."""
+    plan = QUERIES[name](spark, shared_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array" in plan and not re.search(r"Filter .*size\((sort_array|transform|filter|flatten)\(", plan)
+
+
+def test_counts_of_a_day_are_those_of_its_lists(spark, shared_dir):
+    up, day = ("1000", "2001-01-01"), "stock_id string, date string, close double"
+    t, m = spark.createDataFrame([(*up, x) for x in (3.0, None, 0.0)], day), spark.createDataFrame([(*up, x) for x in (5.0, 0.0, None, 7.0)], day)
+    bars = trial(spark, shared_dir)
+    own = lambda x: x.withColumn("stock_id", F.lit(up[0])).withColumn("date", F.lit(up[1]).cast("date")).limit(3)
+    odd = Warehouse(spark, {"vendor_bars": own(bars.vendor_bars), "feed_adj_bars": own(bars.feed_adj_bars), "feed_bars": own(bars.feed_bars), "feed_raw_ticker": t, "feed_raw_market": m})
+    for w, least in ((bars, 100), (odd, 1)):
+        moves = lambda x: x["feed_up"] != 0
+        times = lambda u: F.aggregate(u, F.lit(0).cast("long"), lambda n, x: n + x["times"])
+        told = compare.days(w).select("*", *(x.alias(f"_{n}") for n, x in {
+            "n_v": F.size("v"), "n_f": F.size("f"), "n_r": F.size("r"), "n_u": times("u"), "f_positive": F.size(F.filter("f", lambda x: x["feed"] > 0)), "u_moving": times(F.filter("u", moves)), "u_values": F.size(F.filter("u", moves)),
+        }.items()))
+        assert told.count() >= least
+        assert told.where(" OR ".join(f"NOT {x} <=> _{x}" for x in ("n_v", "n_f", "n_r", "n_u", "f_positive", "u_moving", "u_values"))).count() == 0
