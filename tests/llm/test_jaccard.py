@@ -75,6 +75,37 @@ def test_a_large_bucket_is_compared_in_blocks(spark, documents, monkeypatch):
     assert groups.select("component").distinct().count() == len(set(root)) < 60
 
 
+def test_sets_travel_to_the_first_bucket_of_similar_texts_only(spark, documents, monkeypatch):
+    """Strangers that share a frame meet in buckets, and similar texts meet in many: only the similar ones' sets come along, about once each."""
+    rows_of, real = {}, jaccard.materialise
+
+    def told(df, label):
+        rows_of[label] = real(df, label)
+        return rows_of[label]
+
+    monkeypatch.setattr(jaccard, "materialise", told)
+    rnd = random.Random(11)
+    frame, rows = [f"f{k}" for k in range(90)], []
+    for g in range(60):  # of 60 texts with a common frame, five have a near copy
+        own = frame + [f"w{rnd.getrandbits(30)}" for _ in range(90)]
+        rows.append((2 * g, " ".join(own)))
+        if g < 5:
+            rows.append((2 * g + 1, " ".join(changed(rnd, own, 2))))
+    groups = jaccard.near_groups(documents(rows), shingle=5, max_bits=0, second_bits=0, least=0.8)
+    assert groups.select("component").distinct().count() == 60
+    assert rows_of["shared-bands"].count() > 20 and rows_of["sets"].count() == 10 and rows_of["met"].count() == 10
+
+
+def test_sketches_tell_all_of_the_range():
+    rnd, enough = np.random.default_rng(4), jaccard.enough_minima(0.8)
+    agree = lambda a, b: sum(x == y for x, y in zip(*(jaccard.sketch_of(jaccard.minima_of(np.unique(s)))[: jaccard.HASHES] for s in (a, b)), strict=True))
+    for n in (9, 60, 900):
+        for _ in range(40):
+            a = rnd.integers(0, 1 << 63, n, np.uint64)
+            other = lambda k: np.concatenate([a[k:], rnd.integers(0, 1 << 63, k, np.uint64)])  # noqa: B023, E731
+            assert agree(a, other(n // 9)) >= enough > agree(a, other(n - n // 4))
+
+
 def test_bands_miss_nothing_of_the_range():
     rnd = np.random.default_rng(3)
     for n in (5, 60, 900, 9000):
