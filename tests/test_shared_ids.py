@@ -100,6 +100,15 @@ def test_all_sides_come_from_one_scan(spark, shared_dir):
     assert plan.count("FileScan") == 1 and "Join" not in plan
 
 
+def test_aligned_is_made_without_joins(spark, shared_dir, shared_db):
+    rows = trial(spark, shared_dir).aligned
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    some = "date BETWEEN DATE '1996-01-01' AND DATE '1996-01-20'"
+    told = shared_db.execute(f"SELECT {', '.join(rows.columns)} FROM ({SQL['aligned']}) WHERE {some}").fetchall()
+    assert len(told) > 10 and table(rows.columns, [tuple(r) for r in rows.where(some).collect()]) == table(rows.columns, told)
+
+
 def test_days_of_tables_that_are_apart(spark, sf_dir):
     w = trial(spark, sf_dir)
     apart = Warehouse(spark, {x: w.tables[x] for x in ("vendor_bars", "feed_adj_bars", "feed_bars", "feed_raw_ticker", "feed_raw_market")})
