@@ -4,7 +4,7 @@ Links of near fingerprints (see simhash) come first and join most of a group. Wh
 a text's shingles has HASHES minima, dealt to BANDS bands, and two sets meet in a bucket if all minima of a band agree. At a similarity of 0.8
 two sets miss each other in all bands with a chance of 4e-4, above it with less; at 0.3, as texts with a common frame have, they meet with one of 0.05. Only buckets that hold parts
 of different groups are looked into. First a sketch of a byte a minimum tells which sets may have a similar one in their bucket: two at a similarity of 0.8 agree in 80 of 100 minima, give or
-take 4, and are passed over if they agree in less than 55 (a chance of 1e-9, where the bands alone miss 4e-4); nearly all strangers are. Of those left the sets come along, similarities
+take 4, and are passed over if they agree in less than 55 (a chance of 4e-9, where the bands alone miss 4e-4); nearly all strangers are. Of those left the sets come along, similarities
 are exact, and a spanning forest of the links leaves the task, never all pairs. So what is shuffled grows with the documents, and not with the buckets that strangers share.
 Sets that meet in several buckets are compared in the first one. A bucket of more than BLOCK sets is dealt out to blocks, and each pair of blocks is a task's work of its own: no task holds more than two blocks, and no pair is left out.
 
