@@ -151,3 +151,12 @@ def test_counts_of_a_day_are_those_of_its_lists(spark, shared_dir):
         }.items()))
         assert told.count() >= least
         assert told.where(" OR ".join(f"NOT {x} <=> _{x}" for x in ("n_v", "n_f", "n_r", "n_u", "f_positive", "u_moving", "u_values"))).count() == 0
+
+
+@pytest.mark.parametrize("name", ["aligned", "returns"])
+def test_rows_of_a_day_are_not_held_together(spark, shared_dir, name):
+    """Steps compiled together hold all rows that come of one row. Pairs of bars are made in one, the rows of a pair in another."""
+    rows = QUERIES[name](spark, shared_dir).where("date = DATE '1996-01-09'")
+    assert rows.collect()
+    compiled = re.findall(r"\*\((\d+)\) Generate", rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+    assert len(compiled) >= 3 and len(set(compiled)) == 2
