@@ -1,13 +1,17 @@
 """Ids have four characters, so longer supplier keys share them: several bars a security and day. Queries against their SQL on such tables."""
 
+import datetime as dt
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_queries import QUERIES, SQL, TABLES, table
 
-from quotewell.operators import compare
+from quotewell.operators import compare, explore
+from quotewell.operators.feed_views import BAR
+from quotewell.operators.vendor_views import VENDOR_BAR
 from quotewell.plans.queries import trial
 from quotewell.plans.warehouse import Warehouse
 
@@ -160,3 +164,27 @@ def test_rows_of_a_day_are_not_held_together(spark, shared_dir, name):
     assert rows.collect()
     compiled = re.findall(r"\*\((\d+)\) Generate", rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
     assert len(compiled) >= 3 and len(set(compiled)) == 2
+
+
+def test_level_metrics_match_sql_without_a_row_a_pair(spark, shared_dir, shared_db, sf_dir):
+    same(spark, shared_dir, shared_db, "level_metrics")
+    w = trial(spark, sf_dir)
+    apart = Warehouse(spark, {x: w.tables[x] for x in ("vendor_bars", "feed_adj_bars")})
+    assert sorted(explore.level_metrics(apart).collect()) == sorted(explore.level_metrics(w).collect())
+    plan = explore.level_metrics(trial(spark, shared_dir))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, (" not in plan.replace("(price", "price")  # bars are gathered by day, not joined
+
+
+def test_level_metrics_with_few_ties_and_unknown_prices(spark):
+    columns = "stock_id string, date date, open double, high double, low double, close double, year int, month int"
+    day = dt.date(2001, 1, 1)
+    bars = lambda prices: spark.createDataFrame([("1000", day, x, 1.0, float(k), None, 2001, 1) for k, x in enumerate(prices)], columns)
+    pad = lambda rows, names: rows.select(*(n if n in rows.columns else F.lit(None).cast("string").alias(n) for n in names))
+    v, f = [float(k * k % 97) for k in range(60)], [float(k % 7) / 3 for k in range(50)] + [None]
+    w = Warehouse(spark, {"vendor_bars": pad(bars(v), VENDOR_BAR), "feed_adj_bars": pad(bars(f), BAR)})
+    got = {r.price: r for r in explore.level_metrics(w).collect()}
+    offs = [abs(a - b) for a in v for b in f if b is not None]
+    assert [got[x].n for x in explore.LEVELS] == [60 * 51] * 4
+    assert got["open"].p999_off == pytest.approx(float(np.quantile(offs, 0.999)), abs=1e-6) and got["open"].largest_off == round(max(offs), 6)
+    assert (got["high"].p999_off, got["high"].exact_pct, got["close"].p999_off, got["close"].largest_off) == (0.0, 100.0, None, None)
+    assert got["low"].p999_off == pytest.approx(float(np.quantile([abs(a - b) for a in range(60) for b in range(51)], 0.999)), abs=1e-6)
